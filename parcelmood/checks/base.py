@@ -89,24 +89,25 @@ _CAL = FIXTURE_CALENDAR
 _FREQ = ", ".join(f"'{c}'" for c in C.CATEGORICAL)
 
 PREFIX = f"""
-ship AS (
-  SELECT l_orderkey, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
-  FROM lineitem GROUP BY l_orderkey),
+cents AS (
+  SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS c,
+    o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS bought
+  FROM orders),
 raw_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
     CASE WHEN o_orderstatus = 'P' THEN 'shipped' ELSE 'delivered' END AS order_status,
-    o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS order_purchase_timestamp,
-    o_orderdate + to_seconds((o_orderkey * 7919) % 86400)
-      + to_seconds((o_orderkey % 48) * 3600) AS order_approved_at,
-    o_orderdate + to_seconds(43200) + to_days(CAST(
-      ((date_diff('day', o_orderdate, first_ship) % 10) + 10) % 10 AS INTEGER))
+    bought AS order_purchase_timestamp,
+    CASE WHEN o_orderkey % 71 <> 0 THEN bought + to_seconds((o_orderkey % 48) * 3600) END
+      AS order_approved_at,
+    CASE WHEN o_orderkey % 53 <> 0 THEN
+      o_orderdate + to_seconds(43200) + to_days(CAST((c // 45) % 10 AS INTEGER)) END
       AS order_delivered_carrier_date,
-    o_orderdate + to_seconds(43200) + to_days(CAST(
-      ((date_diff('day', o_orderdate, last_ship) % 45) + 45) % 45 AS INTEGER))
+    CASE WHEN o_orderkey % 59 <> 0 THEN
+      o_orderdate + to_seconds(43200) + to_days(CAST(c % 45 AS INTEGER)) END
       AS order_delivered_customer_date,
     o_orderdate + to_days(20 + 3 * CAST(substr(o_orderpriority, 1, 1) AS INTEGER))
       AS order_estimated_delivery_date
-  FROM orders LEFT JOIN ship ON o_orderkey = l_orderkey),
+  FROM cents),
 first_reviews AS (
   SELECT order_id, (order_id * 7919) % 100 AS u,
     coalesce(order_delivered_customer_date >= order_estimated_delivery_date + INTERVAL 1 DAY,

@@ -27,8 +27,13 @@ def sliced(frame: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return ranged.withColumn(SLICE, F.spark_partition_id())
 
 
-def _before(measure: str, window) -> Column:
-    return F.coalesce(F.sum(measure).over(window), F.lit(0))
+def _earlier(aggregate, column: str, window, default) -> Column:
+    value = aggregate(column).over(window)
+    return value if default is None else F.coalesce(value, F.lit(default))
+
+
+def _rows_before(*partition: str):
+    return Window.partitionBy(*partition), (Window.unboundedPreceding, -1)
 
 
 def running_totals(
@@ -41,21 +46,19 @@ def running_totals(
     written to the checkpoint folder once, so that the offsets and the rows see
     the same slices even after an executor is lost.
     """
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    whole, before = _rows_before(*keys)
+    inside = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(*before)
     local = settle(
         sliced(frame, keys, order).withColumns(
-            {f"{m}_before": _before(m, inside) for m in measures}
+            {f"{m}_before": _earlier(F.sum, m, inside, 0) for m in measures}
         )
     )
     totals = local.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(f"_{m}") for m in measures])
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(SLICE).rowsBetween(*before)
     offsets = totals.select(
         *keys,
         SLICE,
-        *[_before(f"_{m}", earlier).alias(f"_{m}_offset") for m in measures],
+        *[_earlier(F.sum, f"_{m}", earlier, 0).alias(f"_{m}_offset") for m in measures],
         *[F.sum(f"_{m}").over(whole).alias(f"{m}_total") for m in measures],
     )
     # offsets has at most slices + keys rows
@@ -65,3 +68,21 @@ def running_totals(
         *[(F.col(f"{m}_before") + F.col(f"_{m}_offset")).alias(f"{m}_before") for m in measures],
         *[F.col(f"{m}_total") for m in measures],
     )
+
+
+def running_best(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str
+) -> DataFrame:
+    """Add the largest value so far within the key, sliced like running_totals."""
+    whole, before = _rows_before(*keys)
+    inside = (
+        Window.partitionBy(*keys, SLICE)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = settle(sliced(frame, keys, order).withColumn("_best", F.max(value).over(inside)))
+    totals = local.groupBy(*keys, SLICE).agg(F.max(value).alias("_top"))
+    earlier = whole.orderBy(SLICE).rowsBetween(*before)
+    offsets = totals.select(*keys, SLICE, F.max("_top").over(earlier).alias("_offset"))
+    joined = local.join(F.broadcast(offsets), [*keys, SLICE])
+    return joined.select(*frame.columns, F.greatest("_best", "_offset").alias(name))

@@ -64,33 +64,26 @@ def _add(base: Column, days: Column | int = 0, seconds: Column | int = 0) -> Col
 
 
 def _dated_orders(spark: SparkSession, directory: str) -> DataFrame:
-    shipped = (
-        read_table(spark, directory, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
-    )
-    orders = read_table(spark, directory, "orders").join(
-        shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    )
-    day = F.col("o_orderdate")
-    key = F.col("o_orderkey")
+    day, key = F.col("o_orderdate"), F.col("o_orderkey")
+    # the low digits of the price are as good as random and need no other table
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     noon = 43_200
     bought = _add(day, seconds=key * 7919 % 86_400)
     priority = F.substring("o_orderpriority", 1, 1).cast("int")
-    return orders.select(
+    to_carrier = _add(day, (F.floor(cents / 45) % 10).cast("int"), noon)
+    to_customer = _add(day, (cents % 45).cast("int"), noon)
+    return read_table(spark, directory, "orders").select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.when(F.col("o_orderstatus") == "P", "shipped").otherwise("delivered").alias(
             "order_status"
         ),
         bought.alias("order_purchase_timestamp"),
-        _add(bought, seconds=key % 48 * 3600).alias("order_approved_at"),
-        _add(day, F.pmod(F.datediff("first_ship", day), F.lit(10)), noon).alias(
-            "order_delivered_carrier_date"
-        ),
-        _add(day, F.pmod(F.datediff("last_ship", day), F.lit(45)), noon).alias(
-            "order_delivered_customer_date"
+        _keep_unless("o_orderkey", 71, _add(bought, seconds=key % 48 * 3600)).alias(
+            "order_approved_at"
         ),
+        _keep_unless("o_orderkey", 53, to_carrier).alias("order_delivered_carrier_date"),
+        _keep_unless("o_orderkey", 59, to_customer).alias("order_delivered_customer_date"),
         _add(day, 20 + 3 * priority).alias("order_estimated_delivery_date"),
     )
 
@@ -167,9 +160,10 @@ def fixture_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
         (F.col("p_size") % 11 + 5).alias("product_width_cm"),
     )
     category = (
-        part.groupBy(F.col("p_type").alias("product_category_name"))
-        .agg(F.lower(F.first("p_type")).alias("product_category_name_english"))
+        part.select(F.col("p_type").alias("product_category_name"))
         .where(F.col("product_category_name") != "PROMO")
+        .distinct()
+        .withColumn("product_category_name_english", F.lower("product_category_name"))
     )
     customers = (
         read_table(spark, directory, "customer")
