@@ -323,7 +323,7 @@ def stability_score(spark, directory):
     return _compared(spark, directory)
 
 
-@query("best_model", f"""{_MODELS_SQL}, both AS (
+@query("best_model", f"""{_MODELS_SQL}, winners AS (
   (SELECT 'f1' AS criterio, * FROM compared ORDER BY f1_cls0_val DESC, modelo LIMIT 1)
   UNION ALL
   (SELECT 'estabilidad', * FROM compared ORDER BY score_estabilidad DESC, modelo LIMIT 1))
