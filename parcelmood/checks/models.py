@@ -133,8 +133,9 @@ def threshold_sweep(spark, directory):
 
 @query("ablation")
 def ablation(spark, directory):
+    """All candidates with and without the reviewed feature."""
     train, val = clean_splits(spark, directory)
-    return modeling.ablation(train, val, _selected(train, val))
+    return modeling.ablation(train, val, C.CANDIDATES)
 
 
 # ---- panel ------------------------------------------------------------------------------

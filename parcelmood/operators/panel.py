@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from parcelmood import config as C
 from parcelmood.operators.comparison import probability_matrix
 from parcelmood.operators.metrics import class0_metrics
-from parcelmood.operators.modeling import WEIGHT, predict_probability
+from parcelmood.operators.modeling import WEIGHT, predict_probability, spread
 from parcelmood.operators.preprocess import FEATURES, design_of, typed_preprocessor
 from parcelmood.operators.sampling import fixed_sample, stratified_folds, with_class_weight
 
@@ -129,14 +129,16 @@ def build_classifier(
     p = {**DEFAULTS[name], **(params or {})}
     common = {"labelCol": C.TARGET, "featuresCol": FEATURES, "weightCol": WEIGHT}
     if name == "logistic":
-        return LogisticRegression(regParam=1.0 / (p["C"] * rows), maxIter=200, **common)
+        return LogisticRegression(
+            regParam=1.0 / (p["C"] * rows), maxIter=200, tol=1e-4, **common
+        )
     if name == "elastic_net":
         mix = {"l2": 0.0, "l1": 1.0, "elasticnet": p.get("l1_ratio", 0.15)}[p["penalty"]]
         return LogisticRegression(
-            regParam=p["alpha"], elasticNetParam=mix, maxIter=200, **common
+            regParam=p["alpha"], elasticNetParam=mix, maxIter=200, tol=1e-3, **common
         )
     if name == "linear_svm":
-        return LinearSVC(regParam=1.0 / (p["C"] * rows), maxIter=100, **common)
+        return LinearSVC(regParam=1.0 / (p["C"] * rows), maxIter=100, tol=1e-4, **common)
     if name in ("random_forest", "rf_no_bootstrap"):
         return RandomForestClassifier(
             numTrees=p["n_estimators"],
@@ -163,6 +165,11 @@ def build_classifier(
     return boosting
 
 
+def _ready(name: str, frame: DataFrame) -> DataFrame:
+    """Tree learners get a partition per core; a linear step is too short to gain from it."""
+    return spread(frame) if name.startswith(("gbt", "r")) else frame
+
+
 def fit_candidate(
     name: str,
     train: DataFrame,
@@ -183,7 +190,7 @@ def fit_candidate(
             .select(FEATURES, C.TARGET, WEIGHT)
             .withColumn(validation, F.lit(True))
         )
-    ready = ready.persist()
+    ready = _ready(name, ready).persist()
     model = build_classifier(name, params, ready.count(), validation).fit(ready)
     ready.unpersist()
     return PipelineModel([*design.stages, model])
@@ -206,11 +213,8 @@ def hyper_search(
     spark = train.sparkSession
     subset = fixed_sample(train, sample, row_id)
     design = design_of(typed_preprocessor(train, variables), subset)
-    ready = (
-        design.transform(with_class_weight(subset, name=WEIGHT))
-        .select(FEATURES, C.TARGET, WEIGHT)
-        .persist()
-    )
+    weighted = with_class_weight(subset, name=WEIGHT)
+    ready = _ready(name, design.transform(weighted).select(FEATURES, C.TARGET, WEIGHT)).persist()
     held = design.transform(val).select(FEATURES, C.TARGET).persist()
     rows = ready.count()
     rng = random.Random(C.SEED)
@@ -291,6 +295,7 @@ def stack(
         weightCol=WEIGHT,
         regParam=1.0 / max(train.count(), 1),
         maxIter=200,
+        tol=1e-4,
     )
     assemble = VectorAssembler(inputCols=list(models), outputCol=FEATURES)
     model = Pipeline(stages=[assemble, learner]).fit(train)

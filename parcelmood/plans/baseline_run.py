@@ -78,7 +78,7 @@ def run_baseline(
         report("ablation", modeling.ablation(train, val, variables))
 
     weighted = modeling.with_class_weight(train, name=modeling.WEIGHT)
-    fitted = modeling.model_pipeline(variables, classifier).fit(weighted)
+    fitted = modeling.model_pipeline(variables, classifier).fit(modeling.spread(weighted))
     model = PipelineModel([cleaner, *fitted.stages])
 
     # one scoring pass serves all reports below
