@@ -153,16 +153,19 @@ class OrderCleaner(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> OrderCleanerModel:
-        numeric = {
-            r.feature: [r.clip_low, r.clip_high, r.median]
-            for r in clip_and_fill_values(dataset).collect()
-        }
-        frequent: dict[str, list[str]] = {
-            c: [] for c in C.CATEGORICAL if c in dataset.columns
-        }
-        for r in frequent_categories(dataset, min_share=self.getOrDefault(self.minShare)).collect():
-            if not (self.getOrDefault(self.nullAsOther) and r.category == C.MISSING_LABEL):
-                frequent[r.feature].append(r.category)
+        present = set(dataset.columns)
+        numeric: dict[str, list[float]] = {}
+        if present.intersection(C.NUMERIC):
+            for r in clip_and_fill_values(dataset).collect():
+                numeric[r.feature] = [r.clip_low, r.clip_high, r.median]
+        frequent: dict[str, list[str]] = {c: [] for c in C.CATEGORICAL if c in present}
+        if frequent:
+            share, drop_missing = (
+                self.getOrDefault(p) for p in (self.minShare, self.nullAsOther)
+            )
+            for r in frequent_categories(dataset, min_share=share).collect():
+                if not (drop_missing and r.category == C.MISSING_LABEL):
+                    frequent[r.feature].append(r.category)
         return OrderCleanerModel(
             {
                 "numeric": {c: numeric[c] for c in C.NUMERIC if c in numeric},

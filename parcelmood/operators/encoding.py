@@ -21,7 +21,8 @@ def target_encoding(
         F.sum(target).alias("_sum"), F.count(target).alias("_n")
     )
     overall = counts.agg((F.sum("_sum") / F.sum("_n")).alias("mean")).first().mean
-    mean = (F.col("_sum") + smoothing * overall) / (F.col("_n") + smoothing)
+    weight = F.nullif(F.col("_n") + F.lit(smoothing), F.lit(0.0))
+    mean = (F.col("_sum") + smoothing * overall) / weight
     means = counts.select("_category", mean.alias(f"te_{column}"))
     return (
         frame.withColumn("_category", category_text(column))

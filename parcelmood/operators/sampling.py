@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelmood import config as C
 from parcelmood.functions.ordering import running_totals
-from parcelmood.functions.scalars import half_even
+from parcelmood.functions.scalars import half_even, ratio
 from parcelmood.operators.features import numeric_columns
 
 
@@ -58,7 +58,7 @@ def class_balance(frame: DataFrame, label: str = C.TARGET) -> DataFrame:
     return counts.select(
         "neg",
         "pos",
-        half_even(neg / total, 4).alias("insatisfechos_pct"),
+        half_even(ratio(neg, total), 4).alias("insatisfechos_pct"),
         half_even(pos / F.greatest(neg, F.lit(1)), 4).alias("scale_pos_weight"),
         (total / F.nullif(2.0 * neg, F.lit(0.0))).alias("peso_0"),
         (total / F.nullif(2.0 * pos, F.lit(0.0))).alias("peso_1"),

@@ -8,7 +8,7 @@ from math import isnan
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
@@ -77,6 +77,13 @@ def stability_index(
     )
 
 
+def _pearson(a: str, b: str) -> Column:
+    """Correlation over rows where both are known; null where one is constant."""
+    x, y = F.col(a), F.col(b)
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+
+
 def correlation_pairs(frame: DataFrame, columns: Sequence[str] = C.NUMERIC) -> DataFrame:
     """|Pearson| of every pair of columns over rows where both are known.
 
@@ -96,7 +103,7 @@ def correlation_pairs(frame: DataFrame, columns: Sequence[str] = C.NUMERIC) -> D
             found[complete[i], complete[j]] = float(matrix[i][j])
     rest = [pair for pair in combinations(present, 2) if pair not in found]
     if rest:
-        sums = typed.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(rest)]).first()
+        sums = typed.agg(*[_pearson(a, b).alias(f"c{k}") for k, (a, b) in enumerate(rest)]).first()
         found.update({pair: sums[f"c{k}"] for k, pair in enumerate(rest)})
     # one row per pair of catalog columns
     rows = [

@@ -70,8 +70,8 @@ def check_target(frame: DataFrame, target: str = C.TARGET) -> DataFrame:
     shown = F.when(F.col("n") >= C.MIN_MONTH_ROWS, half_even(F.col("hits") / F.col("n"), 4))
     rated = months.withColumn("rate", shown)
     month = F.col(C.MONTH)
-    rate_on_time = F.sum("hits_on_time") / F.sum("n_on_time")
-    rate_late = F.sum("hits_late") / F.sum("n_late")
+    rate_on_time = F.sum("hits_on_time") / F.nullif(F.sum("n_on_time"), F.lit(0))
+    rate_late = F.sum("hits_late") / F.nullif(F.sum("n_late"), F.lit(0))
     known = F.col("rate").isNotNull()
     # struct order breaks ties toward the earliest month
     lowest = F.min(F.when(known, F.struct(F.col("rate").alias("rate"), month.alias("m"))))
