@@ -89,6 +89,28 @@ def process_model(
     storage.save_model_results(model_row(name, scored, cv, best), f"{directory}/comparison")
 
 
+def process_pending(
+    frame: DataFrame,
+    variables: Sequence[str],
+    directory: str,
+    row_id: Sequence[str],
+    models: Sequence[str] = panel.PANEL,
+    trials: int = C.SEARCH_TRIALS,
+) -> list[str]:
+    """Process the models without a stored comparison row; returns their names."""
+    spark = frame.sparkSession
+    wanted = spark.createDataFrame([(m,) for m in models], "modelo string")
+    done = f"{directory}/comparison"
+    pending = wanted
+    if storage.path_exists(spark, done):
+        pending = storage.pending_models(wanted, spark.read.parquet(done))
+    left = {row.modelo for row in pending.collect()}
+    names = [m for m in models if m in left]
+    for name in names:
+        process_model(name, frame, variables, row_id, trials, directory)
+    return names
+
+
 def run_panel(
     spark: SparkSession,
     master: DataFrame,
@@ -102,16 +124,23 @@ def run_panel(
     """Whole panel; models with a stored comparison row are skipped on a rerun."""
     configure(spark)
     frame, variables = panel_frame(master, calendar)
-    wanted = spark.createDataFrame([(m,) for m in models], "modelo string")
-    done = f"{directory}/comparison"
-    pending = wanted
-    if storage.path_exists(spark, done):
-        pending = storage.pending_models(wanted, spark.read.parquet(done))
-    left = {row.modelo for row in pending.collect()}
-    for name in (m for m in models if m in left):
-        process_model(name, frame, variables, row_id, trials, directory)
+    process_pending(frame, variables, directory, row_id, models, trials)
+    return finish_panel(frame, variables, directory, row_id, calendar, models, repeats)
 
-    table = spark.read.parquet(done).join(wanted, "modelo", "left_semi")
+
+def finish_panel(
+    frame: DataFrame,
+    variables: Sequence[str],
+    directory: str,
+    row_id: Sequence[str],
+    calendar: C.SplitCalendar = C.DEFAULT_CALENDAR,
+    models: Sequence[str] = panel.PANEL,
+    repeats: int = C.PERMUTATION_REPEATS,
+) -> dict[str, DataFrame]:
+    """Stack the stored models, choose the winner, audit its importances, save it."""
+    spark = frame.sparkSession
+    wanted = spark.createDataFrame([(m,) for m in models], "modelo string")
+    table = spark.read.parquet(f"{directory}/comparison").join(wanted, "modelo", "left_semi")
     val = rows_of_split(frame, "val")
     oof, val_scores = (spark.read.parquet(f"{directory}/{part}") for part in ("oof", "val"))
     _, stacked = panel.stack(oof, val_scores, models, row_id[-1])

@@ -11,7 +11,7 @@ from parcelmood.checks.base import master_of
 from parcelmood.operators.modeling import WEIGHT
 from parcelmood.operators.preprocess import FEATURES
 from parcelmood.plans.baseline_run import run_baseline
-from parcelmood.plans.panel_run import run_panel
+from parcelmood.plans.panel_run import finish_panel, panel_frame, process_pending
 from parcelmood.sources import storage
 from parcelmood.sources.catalog import RAW_FILES, read_raw_tables
 from parcelmood.sources.fixture import FIXTURE_CALENDAR, fixture_tables
@@ -74,10 +74,12 @@ def test_baseline_flow(spark, small, tmp_path):
 
 def test_panel_flow_resumes(spark, small, tmp_path):
     master = master_of(spark, small, review_columns=["review_id"])
-    options = dict(calendar=FIXTURE_CALENDAR, trials=1, repeats=1)
-    row = ["order_id", "review_id"]
-    run_panel(spark, master, str(tmp_path), row, models=["logistic"], **options)
-    trials = storage.path_exists(spark, f"{tmp_path}/trials/modelo=logistic")
-    reports = run_panel(spark, master, str(tmp_path), row, models=["logistic"], **options)
-    assert trials
-    assert {r.modelo for r in reports["model_comparison"].collect()} == {"logistic", "STACKING"}
+    row, models, path = ["order_id", "review_id"], ["logistic"], str(tmp_path)
+    frame, variables = panel_frame(master, FIXTURE_CALENDAR)
+    assert process_pending(frame, variables, path, row, models, trials=1) == models
+    assert process_pending(frame, variables, path, row, models, trials=1) == []
+    reports = finish_panel(frame, variables, path, row, FIXTURE_CALENDAR, models, repeats=1)
+    compared = reports["model_comparison"].collect()
+    assert {r.modelo for r in compared} == {"logistic", "STACKING"}
+    assert storage.path_exists(spark, f"{path}/trials/modelo=logistic")
+    assert reports["backtest_metrics"].first().accuracy > 0
