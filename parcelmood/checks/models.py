@@ -226,8 +226,9 @@ def calibration(spark, directory):
     frame, variables = _panel(spark, directory)
     folded = panel.fold_frame(rows_of_split(frame, "train"), ROW)
     val = rows_of_split(frame, "val")
+    models = panel.fold_models("linear_svm", folded, variables)
     tagged = [
-        panel.calibrated("linear_svm", folded, val, variables, method).select(
+        panel.calibrated(models, folded, val, method).select(
             F.lit(method).alias("metodo"), C.TARGET, "proba"
         )
         for method in ("sigmoid", "isotonic")

@@ -304,27 +304,33 @@ def stack(
     return model, scored
 
 
-def calibrated(
+def fold_models(
     name: str,
     folded: DataFrame,
-    frame: DataFrame,
     variables: Sequence[str],
-    method: str = "sigmoid",
     params: dict | None = None,
     folds: int = C.CV_FOLDS,
+) -> list[PipelineModel]:
+    """One model per fold, each fitted on the rows of the other folds."""
+    return [
+        fit_candidate(name, folded.where(F.col("fold") != i), variables, params)
+        for i in range(folds)
+    ]
+
+
+def calibrated(
+    models: Sequence[Model], folded: DataFrame, frame: DataFrame, method: str = "sigmoid"
 ) -> DataFrame:
-    """Mean probability of per-fold models, each calibrated on its held-out rows."""
+    """Mean probability of the fold models, each calibrated on its held-out rows."""
     if method not in ("sigmoid", "isotonic"):
         raise ValueError(f"unknown calibration: {method}")
-    keep = frame.columns
     scored = frame
-    for i in range(folds):
-        model = fit_candidate(name, folded.where(F.col("fold") != i), variables, params)
+    for i, model in enumerate(models):
         held = _with_margin(model, folded.where(F.col("fold") == i), "margin")
         scored = _with_margin(model, scored, f"m{i}")
         scored = _calibrate(held, scored, f"m{i}", f"p{i}", method)
-    mean = sum((F.col(f"p{i}") for i in range(folds)), F.lit(0.0)) / folds
-    return scored.withColumn("proba", mean).select(*keep, "proba")
+    mean = sum((F.col(f"p{i}") for i in range(len(models))), F.lit(0.0)) / len(models)
+    return scored.withColumn("proba", mean).select(*frame.columns, "proba")
 
 
 def _with_margin(model: Model, frame: DataFrame, name: str) -> DataFrame:

@@ -108,6 +108,8 @@ def test_irrelevant_variable_has_no_importance(spark):
 def test_mean_of_calibrated_folds_is_a_probability(panel_data):
     frame, variables = panel_data
     folded = panel.fold_frame(rows_of_split(frame, "train"), ROW)
-    scored = panel.calibrated("linear_svm", folded, rows_of_split(frame, "val"), variables, "isotonic")
-    low, high = scored.agg(F.min("proba"), F.max("proba")).first()
-    assert 0 <= low < high <= 1
+    models = panel.fold_models("linear_svm", folded, variables)
+    for method in ("sigmoid", "isotonic"):
+        scored = panel.calibrated(models, folded, rows_of_split(frame, "val"), method)
+        low, high = scored.agg(F.min("proba"), F.max("proba")).first()
+        assert 0 <= low < high <= 1
