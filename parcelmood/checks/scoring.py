@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
-from parcelmood.checks.base import features_of, query, rounded, scored_of, stored_features
+from parcelmood.checks.base import features_of, query, rounded, scored_of
 from parcelmood.functions.ordering import running_totals
 from parcelmood.functions.scalars import half_even
 from parcelmood.operators import comparison, metrics
