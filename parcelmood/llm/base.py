@@ -69,17 +69,21 @@ def texts_of(frame: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return frame.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def keep_rows(frame: DataFrame, kept: DataFrame, keys: Sequence[Column], names: Sequence[str]) -> DataFrame:
-    """Rows of ``frame`` named by ``kept`` (``names``, copies), one for each name.
-
-    ``copies`` counts the rows of the frame with that name. Names of one row, nearly all, need only a semi-join;
-    repeated rows alone meet in a ``dropDuplicates``, which drops most of them before its shuffle.
+def keep_rows(
+    frame: DataFrame, kept: DataFrame, keys: Sequence[Column], names: Sequence[str], same: Column | None = None
+) -> DataFrame:
+    """Rows of ``frame`` named by ``kept`` (``names``, copies); of repeated rows one.
+
+    ``copies`` counts the rows of the frame with that name, ``same`` tells apart different rows of one name. Names
+    of one row, nearly all, need only a semi-join; others alone meet in a ``dropDuplicates``, which drops most of
+    them before its shuffle.
     """
-    marked = frame.select(F.struct(*frame.columns).alias("row"), *[k.alias(f"k_{n}") for k, n in zip(keys, names)])
-    slim = kept.select(*[F.col(n).alias(f"w_{n}") for n in names], F.col("copies").alias("w_copies"))
+    keys, marks = [*keys, *([] if same is None else [same])], [f"k_{i}" for i in range(len(keys) + (same is not None))]
+    marked = frame.select(F.struct(*frame.columns).alias("row"), *[k.alias(m) for k, m in zip(keys, marks)])
+    slim = kept.select(*[F.col(n).alias(f"w_{i}") for i, n in enumerate(names)], F.col("copies").alias("w_copies"))
     match = F.lit(True)
-    for n in names:
-        match = match & F.col(f"k_{n}").eqNullSafe(F.col(f"w_{n}"))
+    for i in range(len(names)):
+        match = match & F.col(f"k_{i}").eqNullSafe(F.col(f"w_{i}"))
     single = marked.join(slim.filter("w_copies = 1"), match, "left_semi").select("row.*")
     several = marked.join(slim.filter("w_copies > 1"), match, "left_semi")
-    return single.unionByName(several.dropDuplicates([f"k_{n}" for n in names]).select("row.*"))
+    return single.unionByName(several.dropDuplicates(marks).select("row.*"))

@@ -280,10 +280,13 @@ def near_groups(
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input's rows with one document of each group, all columns as they were."""
+    """The input's rows with one document of each group, all columns as they were.
+
+    Of rows with one id, those with equal texts count as one; different texts under the id that stays all stay.
+    """
     kept = near_groups(docs, words, id_col=id_col, text_col=text_col).filter("kept")
     named = kept.groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
-    return keep_rows(docs, named, [F.col(id_col)], ["id"])
+    return keep_rows(docs, named, [F.col(id_col)], ["id"], F.coalesce(F.col(text_col), F.lit("")))
 
 
 @query("op5_minhash_near_dedup")

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from parcelmood.llm import exact_dedup, language_id, near_dedup, packing, token_counts, token_files  # noqa: F401
+from parcelmood.llm import (  # noqa: F401
+    decontaminate,
+    exact_dedup,
+    language_id,
+    near_dedup,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+)
 from parcelmood.llm.base import ORACLES, QUERIES, Job
 
 

@@ -52,7 +52,7 @@ def _p(x: np.ndarray) -> np.ndarray:
     return -np.log(1.0 - x * (BASE - 1.0) / BASE) / np.log(BASE)
 
 
-def slope(greater, less, equal, n_a, n_b, similarity: float) -> np.ndarray:
+def slope(greater, less, equal, n_a, n_b, similarity) -> np.ndarray:
     """Derivative of the joint log-likelihood at a Jaccard similarity, from how many registers differ which way.
 
     The log-likelihood is concave, so the estimate lies above ``similarity`` exactly where this is positive. Sizes
@@ -73,10 +73,10 @@ def slope(greater, less, equal, n_a, n_b, similarity: float) -> np.ndarray:
 
 def estimate(greater, less, equal, n_a, n_b, steps: int = 30) -> np.ndarray:
     """The maximum-likelihood Jaccard similarity, by bisection on the slope."""
-    n_a, n_b = np.asarray(n_a, np.float64), np.asarray(n_b, np.float64)
-    low, high = np.zeros(np.broadcast(greater, n_a).shape), np.minimum(n_a / n_b, n_b / n_a) * np.ones_like(greater)
+    greater, less, equal, n_a, n_b = np.broadcast_arrays(greater, less, equal, n_a, n_b)
+    low, high = np.zeros(n_a.shape), np.minimum(n_a / n_b, n_b / n_a)
     for _ in range(steps):
         middle = (low + high) / 2
-        up = np.array([slope(*v) for v in np.broadcast(greater, less, equal, n_a, n_b, middle)]).reshape(low.shape) > 0
+        up = slope(greater, less, equal, n_a, n_b, middle) > 0
         low, high = np.where(up, middle, low), np.where(up, high, middle)
     return (low + high) / 2
