@@ -5,7 +5,9 @@ from __future__ import annotations
 from parcelmood.llm import (  # noqa: F401
     decontaminate,
     exact_dedup,
+    html_text,
     language_id,
+    licenses,
     near_dedup,
     packing,
     quality,
