@@ -171,13 +171,15 @@ def train(paragraphs: DataFrame, rows: int) -> LicenseModel:
         F.lit(UNKNOWN).alias("family"), F.substring("text", 1, 4_000).alias("text")
     )
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
+    # a few thousand rows: each pass of the fit over them is one small task
     examples = stored(
-        _with_grams(known.unionByName(other).unionByName(corpus), "text").withColumn("label", label), "license-examples"
-    )
+        _with_grams(known.unionByName(other).unionByName(corpus), "text").withColumn("label", label).coalesce(8),
+        "license-examples",
+    ).coalesce(1)
     vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=VOCABULARY).fit(
         examples.filter(F.col("family") != UNKNOWN)
     )
-    learner = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=80)
+    learner = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=25)
     held = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
     coded = vectors.transform(examples)
     trial = LicenseModel(vectors, learner.fit(coded.filter(~held)), families, 1.0, [])
@@ -220,7 +222,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         spread.join(F.broadcast(telling), "gram", "left_semi").select("doc_id", "paragraph", "text").distinct(),
         "candidates",
     )
-    judged = model.probabilities(_with_grams(candidates, "text"))
+    # a table of its own: a filter on the result would otherwise repeat the whole model in its condition
+    judged = stored(model.probabilities(_with_grams(candidates, "text")), "judged-paragraphs")
     best = F.expr(f"slice(p, 1, {len(model.families) - 1})")
     judged = judged.withColumn("probability", F.array_max(best)).withColumn(
         "family", F.element_at(F.array(*[F.lit(f) for f in model.families]), F.array_position(best, F.array_max(best)).cast("int"))
