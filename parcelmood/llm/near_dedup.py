@@ -185,15 +185,18 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
 
 def _stars(bands: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges (a, b) of all stars whose rays may be kin."""
-    a = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("size_a"), F.col("registers").alias("registers_a"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("size_b"), F.col("registers").alias("registers_b"))
-    found = None
-    members = bands
+    met, found, members = None, None, bands
     while True:
         centres = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
         rays = stored(
             members.join(centres.drop("n"), "key").filter("node != a").select("key", "a", F.col("node").alias("b")), "rays"
         )
+        if met is None:
+            # registers of documents that met another one, few of all; later rounds only see some of them again
+            ends = rays.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            met = stored(nodes.join(ends, "node", "left_semi"), "met")
+            a = met.select(*[F.col(n).alias(m) for n, m in zip(met.columns, ("a", "size_a", "registers_a"))])
+            b = met.select(*[F.col(n).alias(m) for n, m in zip(met.columns, ("b", "size_b", "registers_b"))])
         pairs = rays.select("a", "b").distinct().join(b, "b").join(a, "a")
         judged = stored(pairs.mapInArrow(lambda x: _kin(x, KIN), "a bigint, b bigint, kin boolean"), "judged")
         kin = judged.filter("kin").select("a", "b")
@@ -236,7 +239,9 @@ def near_groups(
         profiles.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "node")).alias("m"))
         .select("digest", F.col("m.node").alias("node")), "classes",
     )
-    nodes = profiles.join(classes.select("node"), "node", "left_semi")
+    nodes = stored(
+        profiles.select("node", "n_shingles", "registers").join(classes.select("node"), "node", "left_semi"), "nodes"
+    )
     places = F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))
     banded = nodes.select("node", "registers", places.alias("band")).select(
         F.xxhash64("band", F.expr(f"substring(registers, band * {rows} + 1, {rows})")).alias("key"), "node"
@@ -246,7 +251,8 @@ def near_groups(
     wanted = (
         clusters.join(sizes, "root")
         .select("node", "root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        .join(profiles.select("node", F.col("doc_id").alias("of"), "digest", "registers"), "node")
+        .join(profiles.select("node", F.col("doc_id").alias("of"), "digest"), "node")
+        .join(nodes.select("node", "registers"), "node")
     )
     fetched = wanted.join(texts, F.col("of").eqNullSafe(F.col("doc_id"))).select(
         "node", "root", "blocks", "digest", "registers", "text"
