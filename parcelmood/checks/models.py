@@ -187,7 +187,7 @@ def hyper_search(spark, directory):
 def _oof(spark, directory, names):
     frame, variables = _panel(spark, directory)
     folded = panel.fold_frame(rows_of_split(frame, "train"), ROW)
-    parts = [panel.out_of_fold(n, folded, variables, "review_id") for n in names]
+    parts = [panel.out_of_fold(n, folded, variables, ROW) for n in names]
     return frame, variables, comparison.append_rows(*parts)
 
 
@@ -211,12 +211,12 @@ def stacking(spark, directory):
     scores = comparison.append_rows(
         *[
             modeling.predict_probability(panel.fit_candidate(n, train, variables), val).select(
-                "review_id", C.TARGET, "proba", F.lit(n).alias("modelo")
+                *ROW, C.TARGET, "proba", F.lit(n).alias("modelo")
             )
             for n in STACK_MODELS
         ]
     )
-    _, stacked = panel.stack(oof, scores, STACK_MODELS, "review_id")
+    _, stacked = panel.stack(oof, scores, STACK_MODELS, ROW)
     return metrics.full_metrics(stacked)
 
 
@@ -268,7 +268,8 @@ def monthly_stream_scoring(spark, directory):
         rows_of_split(frame, "train"), C.NUMERIC + C.BINARY, panel.build_classifier("logistic")
     )
     master = master_of(spark, directory, review_columns=["review_id"])
-    arrivals = master.where(F.col("order_purchase_timestamp") >= "2000-07-01")
+    bought_in = F.date_format("order_purchase_timestamp", "yyyy-MM")
+    arrivals = master.where(bought_in > FIXTURE_CALENDAR.train_end)
     source = scratch_path(spark, "arrivals")
     storage.save_master(arrivals, source)
     stored = storage.load_master(spark, source)

@@ -89,11 +89,11 @@ def monthly_backtest(spark, directory):
 
 @query("stability_band", f"""{_BACKTEST}
 SELECT month, roc_auc, gini, f1,
-  round_even(roc_auc - first_value(roc_auc) OVER w, 4) AS delta_roc_auc,
-  round_even(gini - first_value(gini) OVER w, 4) AS delta_gini,
-  round_even(f1 - first_value(f1) OVER w, 4) AS delta_f1,
+  round_even(roc_auc - first_value(roc_auc IGNORE NULLS) OVER w, 4) AS delta_roc_auc,
+  round_even(gini - first_value(gini IGNORE NULLS) OVER w, 4) AS delta_gini,
+  round_even(f1 - first_value(f1 IGNORE NULLS) OVER w, 4) AS delta_f1,
   round_even(roc_auc - lag(roc_auc) OVER w, 4) AS delta_previo,
-  CASE WHEN abs(round_even(roc_auc - first_value(roc_auc) OVER w, 4)) > 0.02 THEN 1 ELSE 0 END
+  CASE WHEN abs(round_even(roc_auc - first_value(roc_auc IGNORE NULLS) OVER w, 4)) > 0.02 THEN 1 ELSE 0 END
     AS alarma
 FROM monthly WINDOW w AS (ORDER BY month)""")
 def stability_band(spark, directory):
@@ -138,7 +138,7 @@ def full_metrics(spark, directory):
 @query("business_metrics", """
 SELECT dataset_split, count(*) AS n,
   round_even(avg(CASE WHEN review_score >= 4 THEN 1 ELSE 0 END) * 100, 2)
-    AS customer_satisfaction_rate_pct,
+    AS satisfied_customer_rate_pct,
   round_even(avg(CASE WHEN review_score <= 3 THEN 1 ELSE 0 END) * 100, 2)
     AS unsatisfied_customer_rate_pct,
   round_even(avg(review_score), 3) AS average_review_score,
@@ -357,18 +357,18 @@ def cv_summary(spark, directory):
 
 
 @query("oof_matrix", """
-SELECT review_id, round_even(avg(proba), 6) AS base,
+SELECT order_id, review_id, round_even(avg(proba), 6) AS base,
   round_even(avg(1 - proba), 6) AS inverso,
-  round_even(avg(proba / 2), 6) AS mitad FROM scored GROUP BY review_id""")
+  round_even(avg(proba / 2), 6) AS mitad FROM scored GROUP BY order_id, review_id""")
 def oof_matrix(spark, directory):
     """Long (row, model, probability) rows of three linear scores, side by side."""
     score = F.col("proba")
     scores = F.create_map(
         F.lit("base"), score, F.lit("inverso"), 1 - score, F.lit("mitad"), score / 2
     )
-    long = scored_of(spark, directory).select("review_id", F.explode(scores).alias("modelo", "proba"))
-    wide = comparison.probability_matrix(long, "review_id", ["base", "inverso", "mitad"])
-    return wide.select("review_id", *[rounded(c, 6) for c in ("base", "inverso", "mitad")])
+    long = scored_of(spark, directory).select(*ROW, F.explode(scores).alias("modelo", "proba"))
+    wide = comparison.probability_matrix(long, ROW, ["base", "inverso", "mitad"])
+    return wide.select(*ROW, *[rounded(c, 6) for c in ("base", "inverso", "mitad")])
 
 
 _IMPORTANCE_SQL = """WITH raw AS (

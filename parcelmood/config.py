@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-VERSION = "3.0.0"
+VERSION = "0.2.0"
 SEED = 42
 
 TARGET = "is_satisfied"
@@ -47,8 +47,8 @@ UNSTABLE_DROP = 0.05
 IMPORTANCE_CAP = 0.15
 DRIFT_BAND = 0.02
 SEARCH_TRIALS = 100
+# Labelled rows that one trial of the parameter search is fitted on, at most; scores use all rows.
 SEARCH_SAMPLE = 15000
-CV_SAMPLE = 12000
 CV_FOLDS = 3
 PERMUTATION_REPEATS = 5
 
@@ -121,3 +121,8 @@ class SplitCalendar:
 
 
 DEFAULT_CALENDAR = SplitCalendar()
+
+# Decisions of the ablation table.
+ABLATION_BASE_DECISION = "(referencia)"
+ABLATION_KEEP = "aporta señal real -> se mantiene"
+ABLATION_DROP = "prescindible -> candidata a salir"

@@ -65,9 +65,13 @@ def cv_summary(folds: DataFrame, score: str = "score") -> DataFrame:
     )
 
 
-def probability_matrix(long: DataFrame, row_id: str, models: Sequence[str]) -> DataFrame:
-    """One row per order row, one probability column per model."""
-    return long.groupBy(row_id).pivot("modelo", list(models)).agg(F.max("proba"))
+def probability_matrix(
+    long: DataFrame, row_id: Sequence[str], models: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
+    """One row for each whole row id, one probability column per model; ``carry`` names what is the same in its rows."""
+    columns = [F.max(c).alias(c) for c in carry]
+    columns += [F.max(F.when(F.col("modelo") == m, F.col("proba"))).alias(m) for m in models]
+    return long.groupBy(*row_id).agg(*columns)
 
 
 def importance_share(table: DataFrame, raw: str = "importancia") -> DataFrame:

@@ -135,15 +135,16 @@ def monthly_backtest(frame: DataFrame, calendar: C.SplitCalendar, **options) ->
 
 
 def stability_band(monthly: DataFrame, band: float = C.DRIFT_BAND) -> DataFrame:
-    """Change of each month's metrics against the first and the previous month.
+    """Change of each month's metrics against the first month with a known value and the previous month.
 
-    The window runs over report rows, one per month.
+    A month with one class has no AUC: its changes are null and it raises no alarm. The window runs over report
+    rows, one per month.
     """
     order = Window.orderBy("month")
     first = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    change = F.col("roc_auc") - F.first("roc_auc").over(first)
+    change = F.col("roc_auc") - F.first("roc_auc", ignorenulls=True).over(first)
     added = {
-        f"delta_{m}": half_even(F.col(m) - F.first(m).over(first), 4)
+        f"delta_{m}": half_even(F.col(m) - F.first(m, ignorenulls=True).over(first), 4)
         for m in ("roc_auc", "gini", "f1")
     }
     return monthly.select(
@@ -153,7 +154,7 @@ def stability_band(monthly: DataFrame, band: float = C.DRIFT_BAND) -> DataFrame:
         "f1",
         *[e.alias(name) for name, e in added.items()],
         half_even(F.col("roc_auc") - F.lag("roc_auc").over(order), 4).alias("delta_previo"),
-        (F.abs(half_even(change, 4)) > band).cast("int").alias("alarma"),
+        F.coalesce(F.abs(half_even(change, 4)) > band, F.lit(False)).cast("int").alias("alarma"),
     )
 
 
@@ -165,7 +166,7 @@ def business_metrics(frame: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return frame.groupBy(*keys).agg(
         F.count("*").alias("n"),
         half_even(F.avg((score >= C.SATISFIED_FROM).cast("int")) * 100, 2).alias(
-            "customer_satisfaction_rate_pct"
+            "satisfied_customer_rate_pct"
         ),
         half_even(F.avg(unhappy.cast("int")) * 100, 2).alias("unsatisfied_customer_rate_pct"),
         half_even(F.avg(score), 3).alias("average_review_score"),

@@ -243,7 +243,7 @@ def out_of_fold(
     name: str,
     frame: DataFrame,
     variables: Sequence[str],
-    row_id: str,
+    row_id: Sequence[str],
     params: dict | None = None,
     folds: int = C.CV_FOLDS,
 ) -> DataFrame:
@@ -255,19 +255,16 @@ def out_of_fold(
     for i in range(folds):
         model = fit_candidate(name, frame.where(F.col("fold") != i), variables, params)
         scored = predict_probability(model, frame.where(F.col("fold") == i))
-        parts.append(scored.select(row_id, "fold", C.TARGET, F.lit(name).alias("modelo"), "proba"))
+        parts.append(scored.select(*row_id, "fold", C.TARGET, F.lit(name).alias("modelo"), "proba"))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return whole
 
 
-def fold_frame(
-    train: DataFrame, row_id: Sequence[str], sample: int | None = C.CV_SAMPLE
-) -> DataFrame:
-    """Training rows (or a fixed sample of them) with stratified folds."""
-    rows = train if sample is None else fixed_sample(train, sample, row_id)
-    return stratified_folds(rows, row_id)
+def fold_frame(train: DataFrame, row_id: Sequence[str]) -> DataFrame:
+    """All training rows with stratified folds."""
+    return stratified_folds(train, row_id)
 
 
 def cv_scores(oof: DataFrame) -> DataFrame:
@@ -278,15 +275,14 @@ def cv_scores(oof: DataFrame) -> DataFrame:
 
 
 def stack(
-    oof: DataFrame, val: DataFrame, models: Sequence[str], row_id: str
+    oof: DataFrame, val: DataFrame, models: Sequence[str], row_id: Sequence[str]
 ) -> tuple[Model, DataFrame]:
     """Logistic meta-learner on out-of-fold probabilities, applied to val's.
 
     Both inputs are long (row id, target, model, proba) frames.
     """
     def wide(long: DataFrame) -> DataFrame:
-        labels = long.groupBy(row_id).agg(F.max(C.TARGET).alias(C.TARGET))
-        return probability_matrix(long, row_id, models).join(labels, row_id)
+        return probability_matrix(long, row_id, models, [C.TARGET])
 
     train = with_class_weight(wide(oof), name=WEIGHT).persist()
     learner = LogisticRegression(
@@ -300,7 +296,7 @@ def stack(
     assemble = VectorAssembler(inputCols=list(models), outputCol=FEATURES)
     model = Pipeline(stages=[assemble, learner]).fit(train)
     train.unpersist()
-    scored = predict_probability(model, wide(val)).select(row_id, C.TARGET, "proba")
+    scored = predict_probability(model, wide(val)).select(*row_id, C.TARGET, "proba")
     return model, scored
 
 

@@ -13,6 +13,9 @@ from parcelmood.functions.scalars import half_even, ratio
 from parcelmood.operators.features import numeric_columns
 
 
+PREFIX_BITS = 14
+
+
 def hash_order(row_id: Sequence[str], seed: int = C.SEED) -> list[Column]:
     """A shuffled order that does not depend on the partitioning."""
     return [F.xxhash64(F.lit(seed), *row_id), *[F.col(c) for c in row_id]]
@@ -21,8 +24,21 @@ def hash_order(row_id: Sequence[str], seed: int = C.SEED) -> list[Column]:
 def fixed_sample(
     frame: DataFrame, size: int, row_id: Sequence[str], seed: int = C.SEED
 ) -> DataFrame:
-    """Exactly min(size, rows) rows; every task keeps only its own top rows."""
-    return frame.orderBy(*hash_order(row_id, seed)).limit(size)
+    """Exactly min(size, rows) rows, the first in hash order.
+
+    Counts by hash prefix (at most 2 ** PREFIX_BITS rows) tell up to which prefix rows are needed, so only about
+    ``size`` rows are ordered, however many tasks there are.
+    """
+    order = hash_order(row_id, seed)
+    prefix = F.shiftright(order[0], 64 - PREFIX_BITS)
+    counts = frame.groupBy(prefix.alias("prefix")).count().orderBy("prefix").collect()
+    reached, cut = 0, None
+    for row in counts:
+        if reached >= size:
+            break
+        reached, cut = reached + row["count"], row.prefix
+    needed = frame if cut is None else frame.where(prefix <= cut)
+    return needed.orderBy(*order).limit(size)
 
 
 def stratified_folds(

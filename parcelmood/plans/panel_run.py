@@ -73,14 +73,14 @@ def process_model(
     train, val = rows_of_split(frame, "train"), rows_of_split(frame, "val")
     history, best = panel.hyper_search(name, train, val, variables, row_id, trials)
     folded = panel.fold_frame(train, row_id)
-    oof = panel.out_of_fold(name, folded, variables, row_id[-1], best)
+    oof = panel.out_of_fold(name, folded, variables, row_id, best)
     storage.save_model_results(oof, f"{directory}/oof")
     oof = frame.sparkSession.read.parquet(f"{directory}/oof").where(F.col("modelo") == name)
     model = panel.fit_candidate(name, train, variables, best)
     model.write().overwrite().save(f"{directory}/models/{name}")
     scored = tagged_scores(model, frame)
     kept = scored.where(F.col(C.SPLIT) == "val").select(
-        row_id[-1], C.TARGET, "proba", F.lit(name).alias("modelo")
+        *row_id, C.TARGET, "proba", F.lit(name).alias("modelo")
     )
     storage.save_model_results(kept, f"{directory}/val")
     storage.save_model_results(history, f"{directory}/trials")
@@ -143,7 +143,7 @@ def finish_panel(
     table = spark.read.parquet(f"{directory}/comparison").join(wanted, "modelo", "left_semi")
     val = rows_of_split(frame, "val")
     oof, val_scores = (spark.read.parquet(f"{directory}/{part}") for part in ("oof", "val"))
-    _, stacked = panel.stack(oof, val_scores, models, row_id[-1])
+    _, stacked = panel.stack(oof, val_scores, models, row_id)
     ensemble = metrics.full_metrics(stacked).select(
         F.lit(comparison.ENSEMBLE).alias("modelo"),
         half_even(F.col("f1_cls0"), 4).alias("f1_cls0_val"),

@@ -23,8 +23,8 @@ def save_master(master: DataFrame, path: str) -> str:
     month = F.date_format("order_purchase_timestamp", "yyyy-MM")
     (
         master.withColumn(C.MONTH, month)
-        # a month is spread over several files; rows of one order stay together
-        .repartition(F.col(C.MONTH), F.pmod(F.xxhash64("order_id"), F.lit(16)))
+        # few files for a small month, many for a large one: split by size while running
+        .hint("rebalance", C.MONTH)
         .write.mode("overwrite")
         .partitionBy(C.MONTH)
         .parquet(path)

@@ -74,8 +74,8 @@ def test_out_of_fold_covers_each_row_once(panel_data):
     frame, variables = panel_data
     train = rows_of_split(frame, "train")
     folded = panel.fold_frame(train, ROW)
-    oof = panel.out_of_fold("logistic", folded, variables, "review_id", folds=3)
-    ids = [r.review_id for r in oof.select("review_id").collect()]
+    oof = panel.out_of_fold("logistic", folded, variables, ROW, folds=3)
+    ids = [tuple(r) for r in oof.select(*ROW).collect()]
     assert len(ids) == len(set(ids)) == train.count()
     scores = panel.cv_scores(oof).collect()
     assert len(scores) == 3 and all(0 <= r.score <= 1 for r in scores)
@@ -113,3 +113,26 @@ def test_mean_of_calibrated_folds_is_a_probability(panel_data):
         scored = panel.calibrated(models, folded, rows_of_split(frame, "val"), method)
         low, high = scored.agg(F.min("proba"), F.max("proba")).first()
         assert 0 <= low < high <= 1
+
+
+def test_one_review_of_two_orders_stays_two_rows(spark):
+    rows = [(o, 7 if o < 2 else 10 + o, o % 2, m, 0.1 + 0.8 * (o % 2)) for o in range(8) for m in ("a", "b")]
+    long = spark.createDataFrame(rows, "order_id int, review_id int, is_satisfied int, modelo string, proba double")
+    _, scored = panel.stack(long, long, ["a", "b"], ROW)
+    assert sorted((r.order_id, r.is_satisfied) for r in scored.collect()) == [(o, o % 2) for o in range(8)]
+
+
+def test_mitigation_audits_what_it_returns(monkeypatch, spark):
+    shares = {3: [("a", 90.0), ("b", 6.0), ("c", 4.0)], 2: [("b", 20.0), ("c", 10.0)]}
+
+    def audit(model, frame, names, row_id, repeats):
+        return spark.createDataFrame(shares[len(names)], "variable string, importancia_pct double")
+
+    monkeypatch.setattr(importance, "permutation_importance", audit)
+    frame = spark.createDataFrame([(1,)], "x int")
+    kept, _, steps = importance.mitigate(lambda n: None, frame, ["a", "b", "c"], ROW, cap=0.25, min_variables=1)
+    assert kept == ["b", "c"]
+    assert [r.outcome for r in steps.orderBy(F.desc("n_vars")).collect()] == ["reduced", "complies"]
+    shares[3] = [("a", 0.0), ("b", 0.0), ("c", 0.0)]
+    kept, _, steps = importance.mitigate(lambda n: None, frame, ["a", "b", "c"], ROW, cap=0.25)
+    assert kept == ["a", "b", "c"] and steps.first().outcome == "no variable matters"

@@ -212,3 +212,21 @@ def test_folds_and_samples_do_not_depend_on_partitioning(spark):
     assert picked[0] == picked[1] and len(picked[0]) == 50
     balance = class_balance(frame).first()
     assert balance.neg * balance.peso_0 == pytest.approx(balance.pos * balance.peso_1)
+
+
+def test_stability_needs_no_known_first_month(spark):
+    from parcelmood.operators.metrics import stability_band
+
+    rows = [("2001-01", None, None, 0.5), ("2001-02", 0.7, 0.4, 0.5), ("2001-03", 0.6, 0.2, 0.5)]
+    frame = spark.createDataFrame(rows, "month string, roc_auc double, gini double, f1 double")
+    found = {r.month: (r.delta_roc_auc, r.alarma) for r in stability_band(frame).collect()}
+    assert found == {"2001-01": (None, 0), "2001-02": (0.0, 0), "2001-03": (-0.1, 1)}
+
+
+def test_sample_is_the_first_in_hash_order(spark):
+    from parcelmood.operators.sampling import fixed_sample, hash_order
+
+    frame = spark.range(5000).withColumnRenamed("id", "order_id")
+    whole = [r.order_id for r in frame.orderBy(*hash_order(["order_id"])).collect()]
+    for size in (0, 1, 700, 5000, 9000):
+        assert [r.order_id for r in fixed_sample(frame, size, ["order_id"]).collect()] == whole[:size]
