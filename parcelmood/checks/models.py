@@ -1,8 +1,8 @@
 """Queries that train Spark ML models; checked by rows and by property tests.
 
 Spark's learners are not those of other libraries, so there is no SQL twin.
-The numbers of trials and boosting rounds are run parameters, kept small here;
-the data is always whole.
+The numbers of trials and boosting rounds are run parameters, kept small here; rows are never cut,
+but trials of the search are fitted on at most SEARCH_SAMPLE of them.
 """
 
 from __future__ import annotations
