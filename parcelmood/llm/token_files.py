@@ -185,18 +185,15 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     entry = spark.read.parquet(f"{path}/dictionary").first()
     shared = spark.sparkContext.broadcast(bytes(entry.dictionary))
     id_type = blocks.schema["doc_ids"].dataType.elementType.simpleString()
-    decoded = blocks.mapInArrow(
-        lambda b: _decode(b, shared, entry.dict_hash),
-        f"range bigint, doc_id {id_type}, start bigint, n_tokens bigint, ids binary",
-    )
     totals = blocks.groupBy("range").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     # one row for each range of RANGE_DOCS documents
-    bases = totals.select(
-        "range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("base")
-    )
-    return decoded.join(bases, "range").select(
-        "doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids"
-    )
+    bases = totals.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("base"))
+    # the compressed blocks meet their base, not the ids
+    placed = blocks.join(bases, "range").withColumn("starts", F.transform("starts", lambda x: x + F.col("base")))
+    return placed.drop("base").mapInArrow(
+        lambda b: _decode(b, shared, entry.dict_hash),
+        f"range bigint, doc_id {id_type}, start bigint, n_tokens bigint, ids binary",
+    ).drop("range")
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> bytes | None:
