@@ -22,6 +22,8 @@ ORACLES: dict[str, str] = {}
 #: Arrow batches: texts of 100 KB must not meet ten thousand at a time in one Python worker.
 ARROW_ROWS = "1000"
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+#: Names (an id, perhaps a digest: some 100 bytes) up to which a join sends them to every executor.
+BROADCAST_NAMES = 200_000
 #: The words of a text are what lies between these characters.
 BLANKS = "\\x20\\x09-\\x0D"
 
@@ -87,3 +89,34 @@ def keep_rows(
     single = marked.join(slim.filter("w_copies = 1"), match, "left_semi").select("row.*")
     several = marked.join(slim.filter("w_copies > 1"), match, "left_semi")
     return single.unionByName(several.dropDuplicates(marks).select("row.*"))
+
+
+def keep_all_but(
+    frame: DataFrame, named: DataFrame, keys: Sequence[Column], names: Sequence[str], same: Column | None = None
+) -> DataFrame:
+    """The frame's rows whose name stays; of repeated rows one.
+
+    ``named`` has all names of the frame's rows (``names``) once, with ``copies``: the rows of that name that stay,
+    0 where none does. ``same`` tells apart different rows of one name. Most names have one row that stays and
+    need no look-up: an anti-join takes off the others, and those with several rows alone meet in a
+    ``dropDuplicates``. These names are stored and counted, and broadcast only up to ``BROADCAST_NAMES``.
+    """
+    keys, marks = [*keys, *([] if same is None else [same])], [f"k_{i}" for i in range(len(keys) + (same is not None))]
+    marked = frame.select(F.struct(*frame.columns).alias("row"), *[k.alias(m) for k, m in zip(keys, marks)])
+    slim = named.filter("copies != 1").select(
+        *[F.col(n).alias(f"w_{i}") for i, n in enumerate(names)], F.col("copies").alias("w_copies")
+    )
+    slim = stored(slim, "other-names")
+    sizes = slim.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("w_copies") > 1).alias("several")).first()
+
+    def side(rows: DataFrame, count: int) -> DataFrame:
+        return F.broadcast(rows) if count <= BROADCAST_NAMES else rows
+
+    match = F.lit(True)
+    for i in range(len(names)):
+        match = match & F.col(f"k_{i}").eqNullSafe(F.col(f"w_{i}"))
+    single = marked.join(side(slim, sizes.n), match, "left_anti").select("row.*")
+    if not sizes.several:
+        return single
+    several = marked.join(side(slim.filter("w_copies > 1"), sizes.several), match, "left_semi")
+    return single.unionByName(several.dropDuplicates(marks).select("row.*"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelmood.llm.base import ascii_lower, keep_rows, query, stored, table
+from parcelmood.llm.base import ascii_lower, keep_all_but, query, stored, table
 from parcelmood.llm.cuckoo import CuckooFilter
 
 #: Live digests in a shard, on average.
@@ -226,12 +226,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's rows without exact copies: one row of each group, all columns as they were."""
-    kept = (
-        exact_groups(docs, id_col, text_col).filter("kept")
-        .groupBy("doc_id", F.col("text_sha256").alias("digest")).agg(F.count(F.lit(1)).alias("copies"))
+    named = (
+        exact_groups(docs, id_col, text_col)
+        .groupBy("doc_id", F.col("text_sha256").alias("digest")).agg(F.count_if("kept").alias("copies"))
     )
     keys = [F.col(id_col).cast("long"), digest_of(F.col(text_col))]
-    return keep_rows(docs, kept, keys, ["doc_id", "digest"])
+    return keep_all_but(docs, named, keys, ["doc_id", "digest"])
 
 
 EXACT_SQL = """

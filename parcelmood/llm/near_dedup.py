@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmood.llm.base import keep_rows, query, stored, table, texts_of
+from parcelmood.llm.base import keep_all_but, query, stored, table, texts_of
 from parcelmood.llm.components import components
 from parcelmood.llm.setsketch import SetSketch, slope
 
@@ -290,9 +290,12 @@ def drop_near_copies(docs: DataFrame, words: int = 5, id_col: str = "doc_id", te
 
     Of rows with one id, those with equal texts count as one; different texts under the id that stays all stay.
     """
-    kept = near_groups(docs, words, id_col=id_col, text_col=text_col).filter("kept")
-    named = kept.groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
-    return keep_rows(docs, named, [F.col(id_col)], ["id"], F.coalesce(F.col(text_col), F.lit("")))
+    groups = near_groups(docs, words, id_col=id_col, text_col=text_col)
+    named = groups.groupBy(F.col("doc_id").alias("id")).agg(F.count_if("kept").alias("rows"), F.count(F.lit(1)).alias("all"))
+    # other texts under an id that stays stay with it
+    copies = F.when(F.col("rows") > 0, F.col("all")).otherwise(0)
+    named = named.select("id", copies.alias("copies"))
+    return keep_all_but(docs, named, [F.col(id_col)], ["id"], F.coalesce(F.col(text_col), F.lit("")))
 
 
 @query("op5_minhash_near_dedup")
