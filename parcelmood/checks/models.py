@@ -1,6 +1,7 @@
-"""Queries that train Spark ML models; checked by rows and by property tests.
+"""Queries that train Spark ML models; checked by their SQL twins, by rows and by property tests.
 
-Spark's learners are not those of other libraries, so there is no SQL twin.
+Spark's learners are not those of other libraries, so a twin states what does not depend on the learner: the rows
+that are scored, their labels, and what must hold of every score.
 The numbers of trials and boosting rounds are run parameters, kept small here; rows are never cut,
 but trials of the search are fitted on at most SEARCH_SAMPLE of them.
 """
@@ -8,10 +9,11 @@ but trials of the search are fitted on at most SEARCH_SAMPLE of them.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
-from parcelmood.checks.base import features_of, master_of, query, rounded, stored_features
+from parcelmood.checks.base import features_of, master_of, query, stored_features
 from parcelmood.checks.stats import clean_splits
 from parcelmood.functions.scalars import half_even
 from parcelmood.operators import comparison, importance, metrics, modeling, panel
@@ -36,6 +38,11 @@ SEARCH_MODELS = ("logistic", "elastic_net", "linear_svm")
 STACK_MODELS = ("logistic", "elastic_net")
 
 
+def _valid() -> Column:
+    """What must hold of every probability."""
+    return F.coalesce(F.col("proba").between(0.0, 1.0), F.lit(False)).alias("proba_valida")
+
+
 def _selected(train, val) -> list[str]:
     kept = survivors(selection_steps(train, val)).orderBy("position").collect()
     return [row.feature for row in kept]
@@ -84,17 +91,21 @@ def baseline_model(spark, directory):
     return metrics.metrics_by_split(scored)
 
 
-@query("score_new_data")
+@query("score_new_data", """
+SELECT order_id, review_id, true AS proba_valida, true AS pred_coherente FROM feat WHERE dataset_split = 'predict'""")
 def score_new_data(spark, directory):
-    """The unlabeled month, scored by the baseline."""
+    """The unlabeled month, scored by the baseline: a probability for each row, and a prediction that follows from it."""
     frame, _, model = _scorer(spark, directory)
     scored = modeling.score_new_data(model, rows_of_split(frame, "predict"))
-    return scored.select(*ROW, rounded("proba_satisfecho", 6), "pred_satisfecho")
+    scored = scored.withColumnRenamed("proba_satisfecho", "proba")
+    follows = F.col("pred_satisfecho").eqNullSafe((F.col("proba") >= 0.5).cast("int"))
+    return scored.select(*ROW, _valid(), follows.alias("pred_coherente"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", """
+SELECT order_id, review_id, true AS igual FROM feat WHERE dataset_split = 'predict'""")
 def model_roundtrip(spark, directory):
-    """Scores of the saved and loaded model, and whether they equal the original's."""
+    """Whether the saved and loaded model scores each row of the unlabeled month as the original does."""
     frame, variables, model = _scorer(spark, directory)
     path = modeling.save_scorer(
         model, spark, scratch_path(spark, "models"), variables, FIXTURE_CALENDAR
@@ -104,9 +115,7 @@ def model_roundtrip(spark, directory):
     both = modeling.predict_probability(
         loaded, modeling.predict_probability(model, month, "antes"), "despues"
     )
-    return both.select(
-        *ROW, rounded("despues", 6), (F.col("antes") == F.col("despues")).alias("igual")
-    )
+    return both.select(*ROW, F.col("antes").eqNullSafe(F.col("despues")).alias("igual"))
 
 
 @query("evaluate_features")
@@ -191,10 +200,13 @@ def _oof(spark, directory, names):
     return frame, variables, comparison.append_rows(*parts)
 
 
-@query("oof_predictions")
+@query("oof_predictions", """
+SELECT order_id, review_id, is_satisfied, m AS modelo, true AS proba_valida
+FROM feat, (VALUES ('logistic'), ('elastic_net')) v(m) WHERE dataset_split = 'train'""")
 def oof_predictions(spark, directory):
-    _, _, oof = _oof(spark, directory, STACK_MODELS[:1])
-    return oof.withColumn("proba", half_even(F.col("proba"), 6))
+    """Every training row is scored once by each model, out of fold; ``stratified_folds`` checks the folds."""
+    _, _, oof = _oof(spark, directory, STACK_MODELS)
+    return oof.select(*ROW, C.TARGET, "modelo", _valid())
 
 
 @query("cv_scores")
@@ -260,7 +272,10 @@ def importance_mitigation(spark, directory):
 
 # ---- new months ------------------------------------------------------------------------------
 
-@query("monthly_stream_scoring")
+@query("monthly_stream_scoring", f"""
+SELECT order_id, review_id, purchase_month, true AS proba_valida, true AS igual FROM derived
+WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL
+  AND purchase_month > '{FIXTURE_CALENDAR.train_end}'""")
 def monthly_stream_scoring(spark, directory):
     """Months after training arrive as files and are scored by a stream with a frozen model."""
     frame = features_of(spark, directory)
@@ -280,9 +295,5 @@ def monthly_stream_scoring(spark, directory):
     )
     streamed = scored_orders(spark, output).select(*ROW, C.MONTH, "proba_satisfecho")
     batch = score_orders(model, stored).select(*ROW, F.col("proba_satisfecho").alias("por_lote"))
-    return streamed.join(batch, ROW, "full").select(
-        *ROW,
-        C.MONTH,
-        rounded("proba_satisfecho", 6),
-        F.col("proba_satisfecho").eqNullSafe(F.col("por_lote")).alias("igual"),
-    )
+    both = streamed.withColumnRenamed("proba_satisfecho", "proba").join(batch, ROW, "full")
+    return both.select(*ROW, C.MONTH, _valid(), F.col("proba").eqNullSafe(F.col("por_lote")).alias("igual"))

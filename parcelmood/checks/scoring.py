@@ -249,11 +249,16 @@ def presplit_matrix(spark, directory):
     return matrix.select(*ROW, C.SPLIT, C.TARGET, *[rounded(c, 6) for c in C.NUMERIC])
 
 
-@query("fixed_sample")
+SAMPLE_ROWS = 500
+
+
+@query("fixed_sample", f"""
+SELECT order_id, review_id, is_satisfied FROM feat WHERE dataset_split = 'train'
+ORDER BY md5(concat_ws('-', '{C.SEED}', order_id, review_id)), order_id, review_id LIMIT {SAMPLE_ROWS}""")
 def sample(spark, directory):
-    """The search sample: 15,000 shuffled training rows, or all when there are fewer."""
+    """A sample of exactly SAMPLE_ROWS shuffled training rows."""
     train = rows_of_split(features_of(spark, directory), "train")
-    return fixed_sample(train, C.SEARCH_SAMPLE, ROW).select(*ROW, C.TARGET)
+    return fixed_sample(train, SAMPLE_ROWS, ROW).select(*ROW, C.TARGET)
 
 
 @query("stratified_folds", """, classes AS (

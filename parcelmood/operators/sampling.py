@@ -13,7 +13,7 @@ from parcelmood.functions.scalars import half_even, ratio
 from parcelmood.operators.features import numeric_columns
 
 
-PREFIX_BITS = 14
+PREFIX_DIGITS = 4
 
 
 def hash_order(row_id: Sequence[str], seed: int = C.SEED) -> list[Column]:
@@ -21,16 +21,22 @@ def hash_order(row_id: Sequence[str], seed: int = C.SEED) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *row_id), *[F.col(c) for c in row_id]]
 
 
+def digest_order(row_id: Sequence[str], seed: int = C.SEED) -> list[Column]:
+    """A shuffled order that other engines can state too: the MD5 of seed and row id as text."""
+    parts = [F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in row_id]]
+    return [F.md5(F.concat_ws("-", *parts)), *[F.col(c) for c in row_id]]
+
+
 def fixed_sample(
     frame: DataFrame, size: int, row_id: Sequence[str], seed: int = C.SEED
 ) -> DataFrame:
-    """Exactly min(size, rows) rows, the first in hash order.
+    """Exactly min(size, rows) rows, the first in the order of their digests.
 
-    Counts by hash prefix (at most 2 ** PREFIX_BITS rows) tell up to which prefix rows are needed, so only about
+    Counts by digest prefix (at most 16 ** PREFIX_DIGITS rows) tell up to which prefix rows are needed, so only about
     ``size`` rows are ordered, however many tasks there are.
     """
-    order = hash_order(row_id, seed)
-    prefix = F.shiftright(order[0], 64 - PREFIX_BITS)
+    order = digest_order(row_id, seed)
+    prefix = F.substring(order[0], 1, PREFIX_DIGITS)
     counts = frame.groupBy(prefix.alias("prefix")).count().orderBy("prefix").collect()
     reached, cut = 0, None
     for row in counts:

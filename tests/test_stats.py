@@ -223,10 +223,10 @@ def test_stability_needs_no_known_first_month(spark):
     assert found == {"2001-01": (None, 0), "2001-02": (0.0, 0), "2001-03": (-0.1, 1)}
 
 
-def test_sample_is_the_first_in_hash_order(spark):
-    from parcelmood.operators.sampling import fixed_sample, hash_order
+def test_sample_is_the_first_in_digest_order(spark):
+    from parcelmood.operators.sampling import digest_order, fixed_sample
 
     frame = spark.range(5000).withColumnRenamed("id", "order_id")
-    whole = [r.order_id for r in frame.orderBy(*hash_order(["order_id"])).collect()]
+    whole = [r.order_id for r in frame.orderBy(*digest_order(["order_id"])).collect()]
     for size in (0, 1, 700, 5000, 9000):
         assert [r.order_id for r in fixed_sample(frame, size, ["order_id"]).collect()] == whole[:size]
