@@ -24,12 +24,12 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
 from parcelmood.operators.comparison import probability_matrix
-from parcelmood.operators.metrics import class0_metrics
+from parcelmood.operators.metrics import class0_metrics, margin_to_probability
 from parcelmood.operators.modeling import WEIGHT, predict_probability, spread
 from parcelmood.operators.preprocess import FEATURES, design_of, typed_preprocessor
 from parcelmood.operators.sampling import fixed_sample, stratified_folds, with_class_weight
@@ -45,6 +45,9 @@ PANEL = (
     "elastic_net",
 )
 
+#: Bins of the margin that the isotonic fit distinguishes.
+MARGIN_BINS = 10_000
+
 _FOREST_SPACE = {
     "n_estimators": ("int", 150, 350),
     "max_depth": ("int", 2, 14),
@@ -329,6 +332,11 @@ def calibrated(
     return scored.withColumn("proba", mean).select(*frame.columns, "proba")
 
 
+def _bin() -> Column:
+    """The logistic of a margin, rounded: a monotone label of at most MARGIN_BINS + 1 bins."""
+    return F.round(margin_to_probability(F.col("margin")) * MARGIN_BINS) / MARGIN_BINS
+
+
 def _with_margin(model: Model, frame: DataFrame, name: str) -> DataFrame:
     margin = vector_to_array(F.col("rawPrediction"))[1]
     return model.transform(frame).select(*frame.columns, margin.alias(name))
@@ -338,10 +346,15 @@ def _calibrate(
     held: DataFrame, frame: DataFrame, margin: str, output: str, method: str
 ) -> DataFrame:
     if method == "isotonic":
+        # the learner merges its blocks on the driver, so it gets bins instead of rows
+        bins = held.groupBy(_bin().alias("bin")).agg(
+            F.avg(F.col(C.TARGET).cast("double")).alias(C.TARGET), F.count(F.lit(1)).cast("double").alias("rows")
+        )
         model = IsotonicRegression(
-            labelCol=C.TARGET, featuresCol="margin", predictionCol=output
-        ).fit(held.select("margin", F.col(C.TARGET).cast("double").alias(C.TARGET)))
-        return model.setFeaturesCol(margin).transform(frame)
+            labelCol=C.TARGET, featuresCol="bin", weightCol="rows", predictionCol=output
+        ).fit(bins)
+        placed = frame.withColumn("bin", margin_to_probability(F.col(margin)))
+        return model.transform(placed).drop("bin")
     ready = held.select(array_to_vector(F.array("margin")).alias("v"), C.TARGET)
     fitted = LogisticRegression(labelCol=C.TARGET, featuresCol="v").fit(ready)
     slope, intercept = float(fitted.coefficients[0]), fitted.intercept

@@ -16,6 +16,7 @@ from parcelmood.operators.master import build_master
 from parcelmood.operators.split import assign_split, rows_of_split, split_summary
 from parcelmood.session import configure
 from parcelmood.sources import storage
+from parcelmood.streaming.monthly_scoring import score_orders
 
 
 @dataclass
@@ -96,6 +97,14 @@ def run_baseline(
     report("monthly_backtest", monthly)
     report("stability_band", metrics.stability_band(monthly))
 
+    # orders of the unlabeled months, most of which wait for their first review
+    waiting = build_master(tables, require_review=False).where(
+        F.date_format("order_purchase_timestamp", "yyyy-MM").isin(*calendar.predict)
+    )
+    score_orders(model, waiting).write.mode("overwrite").parquet(f"{directory}/new_scores")
+    new_scores = spark.read.parquet(f"{directory}/new_scores")
+    report("new_scores_summary", metrics.scored_summary(new_scores))
+
     artifact = modeling.save_scorer(model, spark, f"{directory}/models", variables, calendar)
     document = storage.run_document(
         reports["technical_metrics"], calendar, {"features": variables}

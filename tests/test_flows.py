@@ -61,9 +61,15 @@ def test_baseline_flow(spark, small, tmp_path):
     classifier = LogisticRegression(
         labelCol=C.TARGET, featuresCol=FEATURES, weightCol=WEIGHT, maxIter=20
     )
-    done = run_baseline(
-        spark, fixture_tables(spark, small), str(tmp_path), FIXTURE_CALENDAR, classifier=classifier
-    )
+    tables = fixture_tables(spark, small)
+    bought = tables["orders"].select(F.col("order_id").alias("o"), "order_purchase_timestamp")
+    month = F.date_format("order_purchase_timestamp", "yyyy-MM").isin(*FIXTURE_CALENDAR.predict)
+    # orders of the unlabeled months have no review yet
+    tables["reviews"] = tables["reviews"].join(bought.where(month), F.col("order_id") == F.col("o"), "left_anti")
+    done = run_baseline(spark, tables, str(tmp_path), FIXTURE_CALENDAR, classifier=classifier)
+    scores = spark.read.parquet(f"{tmp_path}/new_scores")
+    assert scores.count() == done.reports["new_scores_summary"].first().n > 0
+    assert scores.where("review_score is not null or proba_satisfecho is null").isEmpty()
     selection = done.reports["feature_selection"].collect()
     assert [r.orden for r in selection] == [0, 1, 2, 3, 4]
     assert selection[-1].features == len(done.variables) > 0
