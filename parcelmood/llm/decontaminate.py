@@ -1,9 +1,9 @@
 """Benchmark decontamination (2): SimHash of item-sized windows, multi-index Hamming search, exact verification.
 
 Only DataFrame functions. An item of n words is a weighted set of five-word shingles (the weight is how often it
-occurs) and so is every window of n words of a document. A window is worth a fingerprint only if it shares a shingle
-with some item at the same place in both; any other window has similarity 0 with all items or a better aligned
-neighbour. These windows and the items get 64-bit SimHashes. Cut into RADIUS + 1 blocks, two fingerprints within the
+occurs) and so is every window of n words of a document. A window is worth a fingerprint only if so many of its
+shingles occur in items of n words that it can reach the threshold, wherever they stand: parts of an item in another
+order count like any others. These windows and the items get 64-bit SimHashes. Cut into RADIUS + 1 blocks, two fingerprints within the
 radius agree in a block at least, so a join on (size, block number, block value) returns all of them. What it returns
 is verified by the exact weighted Jaccard similarity.
 
@@ -31,6 +31,11 @@ def _words(text: Column) -> Column:
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, f"[{BLANKS}]+"))
 
 
+def _digest(text: Column) -> Column:
+    """Tells apart different texts under one id."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def _shingles(words: str, size: int) -> Column:
     """Hashes of all shingles of ``size`` words, in order; empty where there are fewer words."""
     parts = ", ".join(f"{words}[i + {k}]" for k in range(size))
@@ -82,26 +87,51 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
 
 
-def _windows(texts: DataFrame, places: DataFrame, rows: int) -> DataFrame:
-    """Distinct (doc_id, n_words, start, window) of all windows aligned with a shared shingle.
+def _starts(texts: DataFrame, places: DataFrame, rows: int, threshold: float) -> DataFrame:
+    """(doc_id, digest, n_words, n_shingles, aligned, others): starts of all windows that may reach the threshold.
 
-    ``places``: (hash, place, n_words, n_shingles) of the items. Where they are too many to be broadcast, only
-    positions travel, and the windows of the documents that matched are read from the texts again.
+    ``places``: (hash, place, n_words, n_shingles) of the items. A similarity of ``threshold`` between w and n_shingles
+    shingles takes at least ``least`` shared ones. Of the sorted shared positions, those from number i - least + 1 to
+    number i lie in the windows that start between the i-th less w - 1 and the first of them. ``aligned`` are the
+    starts of this kind with a shared shingle at the same place in both.
     """
-    at = F.greatest(F.lit(0), F.least(F.col("p") - F.col("place"), F.size("hashes") - F.col("n_shingles")))
-    # the outer form: the plain one adds a filter on the array's size, which would be pushed down with the whole
-    # expression of the array put in place of its name
-    if rows <= BROADCAST_ROWS:
-        spread = texts.select("doc_id", "hashes", F.posexplode_outer("hashes").alias("p", "hash"))
-        found = spread.join(F.broadcast(places), "hash").withColumn("start", at)
-    else:
-        spread = texts.select("doc_id", F.posexplode_outer("hashes").alias("p", "hash"))
-        aligned = spread.join(places, "hash").select("doc_id", "p", "place", "n_words", "n_shingles")
-        aligned = aligned.dropDuplicates(["doc_id", "p", "place", "n_words"])
-        same = F.col("doc_id").eqNullSafe(F.col("of"))
-        found = aligned.join(texts.withColumnRenamed("doc_id", "of"), same).withColumn("start", at)
-    window = F.slice("hashes", F.col("start") + 1, F.col("n_shingles"))
-    return found.select("doc_id", "n_words", "start", window.alias("window")).distinct()
+    spread = texts.select("doc_id", "digest", F.size("hashes").alias("total"), F.posexplode_outer("hashes").alias("p", "hash"))
+    at = F.greatest(F.lit(0), F.least(F.col("p") - F.col("place"), F.col("total") - F.col("n_shingles")))
+    share = threshold / (1 + threshold)
+    met = (
+        spread.join(_small(places, rows), "hash")
+        .groupBy("doc_id", "digest", "total", "n_words", "n_shingles")
+        .agg(F.sort_array(F.collect_set("p")).alias("shared"), F.collect_set(at).alias("places"))
+        .withColumn("w", F.least("total", "n_shingles"))
+        .withColumn("least", F.ceil((F.col("w") + F.col("n_shingles")) * F.lit(share) - F.lit(1e-6)).cast("int"))
+        .filter(F.size("shared") >= F.col("least"))
+    )
+    starts = F.expr(
+        "array_distinct(flatten(transform("
+        "filter(sequence(least - 1, size(shared) - 1), i -> shared[i] - shared[i - least + 1] < w), "
+        "i -> sequence(greatest(0, shared[i] - w + 1), least(shared[i - least + 1], total - w)))))"
+    )
+    return met.withColumn("starts", starts).filter(F.size("starts") > 0).select(
+        "doc_id", "digest", "n_words", "n_shingles",
+        F.array_intersect("starts", "places").alias("aligned"), F.array_except("starts", "places").alias("others"),
+    )
+
+
+def _windows(texts: DataFrame, starts: DataFrame, rows: int) -> DataFrame:
+    """Distinct (doc_id, digest, n_words, start, aligned, window); the texts of documents with starts are read again."""
+    ours = starts.withColumnsRenamed({"doc_id": "of", "digest": "of_digest"})
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest"))
+    of_kind = F.expr(
+        "concat(transform(aligned, s -> struct(s as start, true as aligned)), "
+        "transform(others, s -> struct(s as start, false as aligned)))"
+    )
+    found = texts.join(_small(ours, rows), same).select(
+        "doc_id", "digest", "n_words", "n_shingles", "hashes", F.explode_outer(of_kind).alias("at")
+    )
+    window = F.slice("hashes", F.col("at.start") + 1, F.col("n_shingles"))
+    return found.select("doc_id", "digest", "n_words", "at.start", "at.aligned", window.alias("window")).dropDuplicates(
+        ["doc_id", "digest", "n_words", "start"]
+    )
 
 
 def contaminated(
@@ -116,8 +146,8 @@ def contaminated(
     """Columns (doc_id, item_id, start, n_words, similarity): the best window of each document for each item.
 
     Words are what lies between ASCII white space, in lower case. An item of fewer than five words is one shingle of
-    all its words; a document shorter than the item is one window. Of equally good windows the first counts. Null,
-    empty and wordless texts and items match nothing; repeated rows of a document give its pairs once, repeated items
+    all its words; a document shorter than the item is one window. Of equally good windows the first aligned one
+    counts, else the first. Null, empty and wordless texts and items match nothing; repeated rows of a document give its pairs once, repeated items
     each their own id's pairs once. Empty tables give no rows. The longest texts are single rows.
     """
     items = stored(_items(benchmark, item_id_col, item_text_col).distinct(), "items")
@@ -129,12 +159,13 @@ def contaminated(
         places = own.select(
             F.posexplode("item").alias("place", "hash"), "n_words", F.size("item").alias("n_shingles")
         ).distinct()
-        texts = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words")).select(
-            "doc_id", _shingles("words", length).alias("hashes")
-        )
+        texts = docs.select(
+            F.col(id_col).alias("doc_id"), _digest(F.col(text_col)).alias("digest"), _words(F.col(text_col)).alias("words")
+        ).select("doc_id", "digest", _shingles("words", length).alias("hashes"))
         # tables of their own: filters further on would otherwise repeat the fingerprints' expressions
+        starts = stored(_starts(texts, places, places.count(), threshold), "starts")
         windows = stored(
-            _windows(texts, places, places.count()).withColumn("print", _simhash("window")), "windows"
+            _windows(texts, starts, starts.count()).withColumn("print", _simhash("window")), "windows"
         )
         probes = windows.select("*", F.posexplode_outer(_blocks("print")).alias("block", "value"))
         keys = own.select(
@@ -147,14 +178,14 @@ def contaminated(
         scored = shared.withColumn(
             "similarity", F.col("shared") / (F.size("item") + F.size("window") - F.col("shared"))
         ).filter(F.col("similarity") >= threshold)
-        found = scored.select("doc_id", "item_id", "start", "n_words", "similarity")
+        found = scored.select("doc_id", "item_id", "start", "aligned", "n_words", "similarity")
         pairs = found if pairs is None else pairs.unionByName(found)
     if pairs is None:
         empty = docs.select(F.col(id_col).alias("doc_id")).filter("false")
         return empty.join(
             benchmark.select(F.col(item_id_col).alias("item_id")).filter("false"), F.lit(False)
         ).select("doc_id", "item_id", F.lit(0).alias("start"), F.lit(0).alias("n_words"), F.lit(0.0).alias("similarity"))
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words")).alias("best")
+    best = F.max(F.struct("similarity", "aligned", (-F.col("start")).alias("back"), "n_words")).alias("best")
     return pairs.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.back")).alias("start"), F.col("best.n_words").alias("n_words"),
         F.col("best.similarity").alias("similarity"),

@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -246,6 +247,42 @@ def test_items_too_many_to_broadcast_give_the_same(spark, monkeypatch):
     assert sorted(map(str, decontaminate.contaminated(docs, items).collect())) == wanted and len(wanted) == 2
 
 
+def best_windows(text, item):
+    """Similarity of every window of an item's words."""
+    bag = lambda words: Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    words, wanted, n = text.split(), item.split(), len(item.split())
+    scores = {}
+    for s in range(max(1, len(words) - n + 1)):
+        both = sum((bag(words[s : s + n]) & bag(wanted)).values())
+        scores[s] = both / (sum(bag(words[s : s + n]).values()) + sum(bag(wanted).values()) - both)
+    return scores
+
+
+def test_items_in_another_order_are_found(spark):
+    """Document holds an item's parts turned round: no shingle at its own place in the best window."""
+    rng = random.Random(4)
+    words = lambda n, kind: [f"{kind}{rng.randrange(10**6)}" for _ in range(n)]
+    item, long = words(60, "i"), words(120, "k")
+    around = lambda part: " ".join(words(200, "o") + part + words(200, "o"))
+    texts = {1: around(item[30:] + item[:30]), 2: around(item[20:] + item[:20]), 3: around(item[45:] + item[:45])}
+    texts |= {4: around(long[60:] + long[:60]), 5: around(words(60, "n")), 6: " ".join(item[10:] + item[:10])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    items = {10: " ".join(item), 11: " ".join(long)}
+    found = {
+        (r.doc_id, r.item_id): (r.start, r.similarity)
+        for r in decontaminate.contaminated(docs, spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect()
+    }
+    wanted = {}
+    for doc, text in texts.items():
+        for key, passage in items.items():
+            scores = best_windows(text, passage)
+            if max(scores.values()) >= 0.8:
+                wanted[doc, key] = max(scores.values())
+    assert set(wanted) == {(1, 10), (2, 10), (3, 10), (4, 11), (6, 10)}
+    assert {k: round(s, 6) for k, (_, s) in found.items()} == {k: round(s, 6) for k, s in wanted.items()}
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect()) == [5]
+
+
 def test_quality_keeps_and_rejects(spark, small, odd_docs, no_docs):
     found = QUERIES["op4_quality_classifier"](spark, small)
     labels = spark.read.parquet(f"{small}/labels.parquet")
