@@ -3,9 +3,9 @@
 One pass of the standard library's parser turns a page into blocks: the text between block-level tags, with the
 number of tags that occurred in it and the container that holds it. A block's ratio of characters to tags, smoothed
 over its neighbours, tells content from lists of links; blocks above the threshold (the ratios' standard deviation)
-are content. The region with most content text is taken whole, so short paragraphs within it stay: an article or
-main element where the page has one, else the deepest container with most of the content, from its first content
-block to its last. Elements that are furniture by their tag, role, class or id never count.
+are content. Where the page has article or main elements, all those that hold content are taken whole, so short
+paragraphs within them stay; of a main element around articles, the content blocks outside these stay as well. Other
+pages give all text from the first content block to the last. Elements that are furniture by their tag, role, class or id never count.
 """
 
 from __future__ import annotations
@@ -181,29 +181,34 @@ def main_text(html: str | None) -> str:
             total[container] += n
             any_text[container] |= not furniture
             container = containers[container][0]
-    for tag in ("article", "main"):
-        if found := [i for i, c in enumerate(containers) if c[1] == tag and any_text[i]]:
-            # the first of the fullest
-            region = max(found, key=lambda i: (total[i], -i))
-            inside = _inside(region, containers)
-            return "\n\n".join(b[0] for b in blocks if not b[2] and inside[b[3]])
-    region = 0
-    while True:
-        below = [i for i, c in enumerate(containers) if c[0] == region and 2 * total[i] > total[region]]
-        if not below:
-            break
-        region = below[0]
-    inside = _inside(region, containers)
-    held = [i for i, b in enumerate(blocks) if not b[2] and inside[b[3]]]
-    full = [i for i in held if chars[i]]
-    return "\n\n".join(blocks[i][0] for i in held if full and full[0] <= i <= full[-1])
-
-
-def _inside(region: int, containers: list) -> list[bool]:
-    inside = [False] * len(containers)
-    for i, (parent, _) in enumerate(containers):
-        inside[i] = i == region or (parent >= 0 and inside[parent])
-    return inside
+    found = [i for i, c in enumerate(containers) if c[1] in ("article", "main") and any_text[i]]
+    if found:
+        taken = _taken(found, total, containers)
+        return "\n\n".join(b[0] for b, n in zip(blocks, chars) if not b[2] and (taken[b[3]] == 2 or (taken[b[3]] and n)))
+    full = [i for i, n in enumerate(chars) if n]
+    return "\n\n".join(b[0] for i, b in enumerate(blocks) if not b[2] and full and full[0] <= i <= full[-1])
+
+
+def _taken(found: list[int], total: list[int], containers: list) -> list[int]:
+    """What each container gives: 2 all its text, 1 its content blocks, 0 nothing.
+
+    Articles with content blocks, and main elements with such blocks but without an article of the kind, give all of
+    theirs; a main element gives its content blocks outside its articles too. If none has content blocks, all count.
+    """
+    held = {i for i in found if total[i]} or set(found)
+    around = set()
+    for i in held:
+        if containers[i][1] == "article":
+            parent = containers[i][0]
+            while parent >= 0:
+                around.add(parent)
+                parent = containers[parent][0]
+    taken = [0] * len(containers)
+    for i, (parent, tag) in enumerate(containers):
+        taken[i] = taken[parent] if parent >= 0 else 0
+        if i in held and taken[i] < 2:
+            taken[i] = 1 if tag == "main" and i in around else 2
+    return taken
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

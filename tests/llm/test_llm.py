@@ -336,6 +336,21 @@ def test_html_cases(spark):
     assert html_text.extract(rows.limit(0)).count() == 0
 
 
+def test_html_keeps_every_content_block():
+    text = html_text.main_text
+    part = lambda mark, times: f"{mark} " + "many plain words " * times
+    links = "<div><a>l1</a></div><div><a>l2</a></div><div><a>l3</a></div>"
+    # sections of uneven size, one div for each paragraph, several articles, text of main outside its article
+    sections = f"<body>{links}<div><section><p>{part('aa', 36)}</section><section><p>{part('bb', 24)}</section></div></body>"
+    paragraphs = f"<body>{links}<div>{part('aa', 10)}</div><div>{part('bb', 60)}</div><div>{part('cc', 10)}</div></body>"
+    articles = f"<body><article>{part('aa', 30)}</article><article>{part('bb', 40)}</article></body>"
+    main = f"<main><p>{part('aa', 30)}</p><article><h2>bb</h2><p>{part('cc', 40)}</article></main>"
+    assert [text(sections).count(m) for m in ("aa", "bb", "l1")] == [1, 1, 0]
+    assert [text(paragraphs).count(m) for m in ("aa", "bb", "cc", "l1")] == [1, 1, 1, 0]
+    assert [text(articles).count(m) for m in ("aa", "bb")] == [1, 1]
+    assert [text(main).count(m) for m in ("aa", "bb", "cc")] == [1, 1, 1]
+
+
 def test_license_paragraphs(spark, odd_docs):
     lines = [
         "Released under the MIT License.", "the report speaks of a licence to drive", "plain words of no meaning at all here",
