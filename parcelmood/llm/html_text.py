@@ -5,7 +5,8 @@ number of tags that occurred in it and the container that holds it. A block's ra
 over its neighbours, tells content from lists of links; blocks above the threshold (the ratios' standard deviation)
 are content. Where the page has article or main elements, all those that hold content are taken whole, so short
 paragraphs within them stay; of a main element around articles, the content blocks outside these stay as well. Other
-pages give all text from the first content block to the last. Elements that are furniture by their tag, role, class or id never count.
+pages give all text from the first content block to the last. Elements that are furniture by their tag or role never
+count, nor do those that are by their class or id, unless they hold most of the page's content or articles.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ BLOCK = frozenset(
 )
 CONTAINERS = frozenset("article body div main section table tbody td tr".split())
 FURNITURE = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head iframe input label math menu nav noscript object "
+    "annotation annotation-xml aside audio button canvas datalist dialog embed footer form head iframe input label menu nav noscript object "
     "script select style svg template textarea title video".split()
 )
 CLOSED_BY = {
@@ -49,10 +50,14 @@ NAMES = frozenset(
     "disqus footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted "
     "promotion related respond share sharing sidebar skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Names of page parts: the whole class or id, or after a word of place; no-sidebar and navbar-fixed name other things.
+PARTS = frozenset("banner footer header masthead menu nav navbar navigation sidebar toolbar".split())
+PLACES = frozenset("bottom global left primary right secondary site top".split())
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 
 
 def _is_furniture(tag: str, attrs: list, inside_article: bool) -> bool:
+    """By its tag, role or as hidden."""
     if tag in FURNITURE or (tag == "header" and not inside_article):
         return True
     if tag in ("html", "body", "article", "main") and not inside_article:
@@ -62,31 +67,51 @@ def _is_furniture(tag: str, attrs: list, inside_article: bool) -> bool:
             return True
         if name == "role" and (value or "").lower() in ROLES:
             return True
-        if name in ("class", "id") and value and not NAMES.isdisjoint(_NAME_PARTS.split(value.lower())):
-            return True
+    return False
+
+
+def _is_named_furniture(tag: str, attrs: list, inside_article: bool) -> bool:
+    """By its class or id; the header of an article is none."""
+    if tag in ("html", "body") or (tag in ("article", "main") and not inside_article):
+        return False
+    for name, value in attrs:
+        if name not in ("class", "id") or not value:
+            continue
+        for whole in value.lower().split():
+            parts = [x for x in _NAME_PARTS.split(whole) if x]
+            if not NAMES.isdisjoint(x for x in parts if x not in PARTS):
+                return True
+            if parts and parts[-1] in PARTS and all(x in PLACES for x in parts[:-1]):
+                if not (inside_article and parts[-1] in ("header", "masthead")):
+                    return True
     return False
 
 
 class _Blocks(HTMLParser):
-    """Blocks (text, tags, furniture, container) in page order; containers as (parent, tag)."""
+    """Blocks (text, tags, furniture, names, container) in page order; containers as (parent, tag).
+
+    ``names``: numbers of the open elements that are furniture by their name only. ``named``: how many there were.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, bool, int]] = []
+        self.blocks: list[tuple[str, int, bool, tuple[int, ...], int]] = []
         self.containers: list[tuple[int, str]] = [(-1, "page")]
-        #: open elements: tag, furniture, container
-        self._open: list[tuple[str, bool, int]] = []
+        self.named = 0
+        #: for each container the number of ``named`` when it opened
+        self.since: list[int] = [0]
+        #: open elements: tag, furniture, names, container
+        self._open: list[tuple[str, bool, tuple[int, ...], int]] = []
         self._parts: list[str] = []
         self._tags = 0
 
-    def _here(self) -> tuple[bool, int]:
-        return self._open[-1][1:] if self._open else (False, 0)
+    def _here(self) -> tuple[bool, tuple[int, ...], int]:
+        return self._open[-1][1:] if self._open else (False, (), 0)
 
     def flush(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            furniture, container = self._here()
-            self.blocks.append((text, self._tags, furniture, container))
+            self.blocks.append((text, self._tags, *self._here()))
             self._tags = 0
         self._parts.clear()
 
@@ -108,16 +133,21 @@ class _Blocks(HTMLParser):
                 break
             if at in CONTAINERS or at in ("ul", "ol", "dl"):
                 break
-        furniture, container = self._here()
+        furniture, names, container = self._here()
         if not furniture:
-            inside = any(t in ("article", "main") for t, _, _ in self._open)
+            inside = any(x[0] in ("article", "main") for x in self._open)
             furniture = _is_furniture(tag, attrs, inside)
+            if not furniture and _is_named_furniture(tag, attrs, inside):
+                names = (*names, self.named)
+                self.flush()
+                self.named += 1
             if furniture:
                 self.flush()
         if tag in CONTAINERS:
             self.containers.append((container, tag))
+            self.since.append(self.named)
             container = len(self.containers) - 1
-        self._open.append((tag, furniture, container))
+        self._open.append((tag, furniture, names, container))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -129,7 +159,8 @@ class _Blocks(HTMLParser):
         for depth in range(len(self._open) - 1, -1, -1):
             if self._open[depth][0] == tag:
                 # what ends furniture or a block ends the text before it
-                if tag in BLOCK or self._open[-1][1]:
+                outer = self._open[depth - 1][1:3] if depth else (False, ())
+                if tag in BLOCK or self._open[-1][1:3] != outer:
                     self.flush()
                 self._pop_to(depth)
                 return
@@ -162,6 +193,34 @@ def _content(blocks: list) -> list[int]:
     return chars if any(chars) else [0 if b[2] else len(b[0]) for b in blocks]
 
 
+def _judged(parser: _Blocks) -> list[tuple[str, int, bool, int]]:
+    """Blocks (text, tags, furniture, container): a name does not count where it would take most of the page.
+
+    That is more than half of the content, or, from around articles and main elements, more than half of their text.
+    """
+    plain = [(text, tags, furniture, container) for text, tags, furniture, _, container in parser.blocks]
+    if not parser.named:
+        return plain
+    chars = _content(plain)
+    # of each container the outermost article or main around it
+    outermost: list[int] = []
+    for i, (parent, tag) in enumerate(parser.containers):
+        above = outermost[parent] if parent >= 0 else -1
+        outermost.append(above if above >= 0 else i if tag in ("article", "main") else -1)
+    content, articles = [0] * parser.named, [0] * parser.named
+    in_articles = 0
+    for (text, _, furniture, names, container), n in zip(parser.blocks, chars):
+        size = 0 if furniture or outermost[container] < 0 else len(text)
+        in_articles += size
+        for name in names:
+            content[name] += n
+            # the article opened after the name
+            articles[name] += size if parser.since[outermost[container]] > name else 0
+    total = sum(chars)
+    void = {k for k in range(parser.named) if 2 * content[k] > total or 2 * articles[k] > in_articles > 0}
+    return [(t, n, f or not void.issuperset(names), c) for t, n, f, names, c in parser.blocks]
+
+
 def main_text(html: str | None) -> str:
     """The page's main text, blocks joined by two line ends; empty for null, empty and textless pages."""
     if not html:
@@ -170,9 +229,9 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    blocks, containers = parser.blocks, parser.containers
-    if not blocks:
+    if not parser.blocks:
         return ""
+    blocks, containers = _judged(parser), parser.containers
     chars = _content(blocks)
     total = [0] * len(containers)
     any_text = [False] * len(containers)

@@ -351,6 +351,19 @@ def test_html_keeps_every_content_block():
     assert [text(main).count(m) for m in ("aa", "bb", "cc")] == [1, 1, 1]
 
 
+@pytest.mark.parametrize("wrapper", ["id='page' class='has-sidebar'", "class='no-sidebar'", "class='navbar-fixed'", "class='widget'"])
+def test_html_names_do_not_rule_out_the_page(wrapper):
+    text = html_text.main_text
+    words = "<p>" + "many plain words " * 30 + "</p>"
+    article = f"<article><header class='entry-header'><h1>head</h1></header><div class='article-header'>line</div>{words}"
+    article += "<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p><div class='comments'>no</div></article>"
+    page = f"<body><div {wrapper}>{article}<div class='sidebar'>side</div><div class='left-sidebar'>side</div></div></body>"
+    found = text(page)
+    assert found.startswith("head\n\nline\n\nmany plain") and found.endswith("so x=1 holds")
+    found = text(f"<body><div {wrapper}>{words}{words}<div class='sidebar'>side</div></div></body>")
+    assert found.count("many plain") == 60 and "side" not in found
+
+
 def test_license_paragraphs(spark, odd_docs):
     lines = [
         "Released under the MIT License.", "the report speaks of a licence to drive", "plain words of no meaning at all here",
