@@ -134,7 +134,7 @@ def _windows(texts: DataFrame, starts: DataFrame, rows: int) -> DataFrame:
     )
 
 
-def contaminated(
+def _matches(
     docs: DataFrame,
     benchmark: DataFrame,
     id_col: str = "doc_id",
@@ -142,14 +142,8 @@ def contaminated(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     threshold: float = THRESHOLD,
-) -> DataFrame:
-    """Columns (doc_id, item_id, start, n_words, similarity): the best window of each document for each item.
-
-    Words are what lies between ASCII white space, in lower case. An item of fewer than five words is one shingle of
-    all its words; a document shorter than the item is one window. Of equally good windows the first aligned one
-    counts, else the first. Null, empty and wordless texts and items match nothing; repeated rows of a document give its pairs once, repeated items
-    each their own id's pairs once. Empty tables give no rows. The longest texts are single rows.
-    """
+) -> DataFrame | None:
+    """Columns (doc_id, digest, item_id, start, aligned, n_words, similarity) of all windows that match; None without items."""
     items = stored(_items(benchmark, item_id_col, item_text_col).distinct(), "items")
     # at most five values
     lengths = sorted(r.length for r in items.select("length").distinct().collect())
@@ -178,8 +172,28 @@ def contaminated(
         scored = shared.withColumn(
             "similarity", F.col("shared") / (F.size("item") + F.size("window") - F.col("shared"))
         ).filter(F.col("similarity") >= threshold)
-        found = scored.select("doc_id", "item_id", "start", "aligned", "n_words", "similarity")
+        found = scored.select("doc_id", "digest", "item_id", "start", "aligned", "n_words", "similarity")
         pairs = found if pairs is None else pairs.unionByName(found)
+    return pairs
+
+
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """Columns (doc_id, item_id, start, n_words, similarity): the best window of each document for each item.
+
+    Words are what lies between ASCII white space, in lower case. An item of fewer than five words is one shingle of
+    all its words; a document shorter than the item is one window. Of equally good windows the first aligned one
+    counts, else the first. Null, empty and wordless texts and items match nothing; repeated rows of a document give its pairs once, repeated items
+    each their own id's pairs once. Empty tables give no rows. The longest texts are single rows.
+    """
+    pairs = _matches(docs, benchmark, id_col, text_col, item_id_col, item_text_col, threshold)
     if pairs is None:
         empty = docs.select(F.col(id_col).alias("doc_id")).filter("false")
         return empty.join(
@@ -193,9 +207,13 @@ def contaminated(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose documents match no item, all columns as they were."""
-    bad = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("bad_doc")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("bad_doc")), "left_anti")
+    """The rows whose texts match no item, all columns as they were; texts that share an id are judged one by one."""
+    pairs = _matches(docs, benchmark, id_col, text_col)
+    if pairs is None:
+        return docs
+    bad = pairs.select(F.struct("doc_id", "digest").alias("bad")).distinct()
+    row = F.struct(F.col(id_col).alias("doc_id"), _digest(F.col(text_col)).alias("digest"))
+    return docs.join(bad, row.eqNullSafe(F.col("bad")), "left_anti")
 
 
 LEAK_SQL = r"""

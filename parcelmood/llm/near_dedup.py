@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmood.llm.base import keep_all_but, query, stored, table, texts_of
+from parcelmood.llm.base import BLANKS, ascii_lower, keep_all_but, query, stored, table, texts_of
 from parcelmood.llm.components import components
 from parcelmood.llm.setsketch import SetSketch, slope
 
@@ -216,13 +216,14 @@ def near_groups(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Columns (doc_id, n_shingles, component_id, kept, digest), one row for each input row.
+    """Columns (doc_id, n_shingles, component_id, kept, digest, first), one row for each input row.
 
     Links join documents whose sets of word shingles have a Jaccard similarity of at least ``threshold`` percent;
     component_id is the smallest id that links reach, kept marks the rows that bear it. A text without words, null
     or empty, has no shingles and no links. Repeated rows share their id and its mark. A null id sorts last: it is a
     component's id only where all ids are null, and then every row of it is kept. No rows give no rows. ``digest``
-    names the sequence of words.
+    names the sequence of words; ``first`` marks one (doc_id, digest) of each group, that with the smallest id and of
+    one id the smallest digest.
     """
     texts = texts_of(docs, id_col, text_col)
     id_type = texts.schema["doc_id"].dataType.simpleString()
@@ -279,25 +280,32 @@ def near_groups(
         profiles.select("node", "doc_id", "digest", "n_shingles").join(rooted, "digest", "left")
         .withColumn("root", F.coalesce("root", F.col("node"))), "grouped",
     )
-    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # null ids last
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
+    smallest = grouped.groupBy("root").agg(F.min(order).alias("m"))
+    smallest = smallest.select("root", F.col("m.doc_id").alias("component_id"), F.col("m.digest").alias("chosen"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
     return grouped.join(smallest, "root").select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "digest"
-    )
+        "doc_id", "n_shingles", "component_id", kept.alias("kept"), "digest",
+        (kept & (F.col("digest") == F.col("chosen"))).alias("first"),
+    )
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's rows with one document of each group, all columns as they were.
 
-    Of rows with one id, those with equal texts count as one; different texts under the id that stays all stay.
+    Different texts under one id, null ids included, are judged one by one. Rows with one id and the same words count
+    as one; texts without words are no copies unless id and text are equal.
     """
     groups = near_groups(docs, words, id_col=id_col, text_col=text_col)
-    named = groups.groupBy(F.col("doc_id").alias("id")).agg(F.count_if("kept").alias("rows"), F.count(F.lit(1)).alias("all"))
-    # other texts under an id that stays stay with it
-    copies = F.when(F.col("rows") > 0, F.col("all")).otherwise(0)
-    named = named.select("id", copies.alias("copies"))
-    return keep_all_but(docs, named, [F.col(id_col)], ["id"], F.coalesce(F.col(text_col), F.lit("")))
+    # rows with one id and the same words are in the same group, those without words each in their own and first there
+    named = groups.groupBy(F.col("doc_id").alias("id"), "digest").agg(F.count_if("first").alias("copies"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    spaced = F.btrim(F.regexp_replace(ascii_lower(text), f"[{BLANKS}]+", " "))
+    digest = F.substring(F.unhex(F.sha2(spaced, 256)), 1, 16)
+    return keep_all_but(docs, named, [F.col(id_col), digest], ["id", "digest"], F.when(spaced == "", text))
 
 
 @query("op5_minhash_near_dedup")
 def op5_minhash_near_dedup(spark, directory):
-    return near_groups(table(spark, directory, "documents"), words=2).drop("digest")
+    return near_groups(table(spark, directory, "documents"), words=2).drop("digest", "first")

@@ -283,6 +283,22 @@ def test_items_in_another_order_are_found(spark):
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect()) == [5]
 
 
+def test_texts_that_share_an_id_are_judged_one_by_one(spark):
+    words = lambda kind: [f"{kind}{i}" for i in range(100)]
+    a, copy = " ".join(words("a")), " ".join(words("a")[:-1] + ["z"])
+    b, b_copy = " ".join(words("b")), " ".join(words("b")[:-1] + ["z"])
+    c, d = " ".join(words("c")), " ".join(words("d"))
+    # b and its copy are a group of null ids alone
+    rows = [(1, a), (None, copy), (None, b), (None, b_copy), (2, c), (2, copy), (2, d), (2, "\n" + d.upper()), (None, None), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [(r.doc_id, r.text) for r in near_dedup.drop_near_copies(docs).collect()]
+    assert sum(r in kept for r in [(None, b), (None, b_copy)]) == 1 and sum((t or "").strip().lower() == d for _, t in kept) == 1
+    assert {(1, a), (2, c), (None, None), (None, " ")} <= set(kept) and len(kept) == 6
+    items = spark.createDataFrame([(10, a)], "item_id bigint, text string")
+    clean = decontaminate.drop_contaminated(docs, items).collect()
+    assert sorted(map(str, clean)) == sorted(str(r) for r in docs.collect() if r.text not in (a, copy))
+
+
 def test_quality_keeps_and_rejects(spark, small, odd_docs, no_docs):
     found = QUERIES["op4_quality_classifier"](spark, small)
     labels = spark.read.parquet(f"{small}/labels.parquet")
