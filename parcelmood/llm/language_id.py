@@ -21,28 +21,20 @@ from pyspark.sql import functions as F
 
 from parcelmood.llm.base import query, stored, table
 
-#: Longest piece in characters; longer ones of the vocabulary stand for runs of signs.
-PIECE_CHARS = 16
-#: Characters of a word that are scored as one; longer words go in parts, which keeps probabilities above zero.
-WORD_CHARS = 48
 SMOOTHING = 0.1
 #: A character that no piece covers.
 UNSEEN = 1e-9
-#: Word probabilities that a worker remembers.
+#: Words whose probabilities a worker remembers, and their greatest length.
 REMEMBERED = 300_000
+REMEMBERED_CHARS = 48
 UNDETERMINED = "und"
 
 _WORDS = re.compile(r"\S+")
-_LETTER = re.compile(r"[^\W\d_]")
 _MARK = "▁"
 
 
 def _split(text: str) -> Counter:
-    words: Counter = Counter()
-    for word, n in Counter(_WORDS.findall(text)).items():
-        for at in range(0, len(word), WORD_CHARS):
-            words[(_MARK if at == 0 else "") + word[at : at + WORD_CHARS]] += n
-    return words
+    return Counter(_WORDS.findall(text))
 
 
 class _Pieces:
@@ -64,8 +56,8 @@ class _Pieces:
 
     def of(self, word: str) -> list[str]:
         if (pieces := self.seen.get(word)) is None:
-            pieces = [p for p in self.processor.encode(word.lstrip(_MARK), out_type=str) if len(p) <= PIECE_CHARS]
-            if len(self.seen) < REMEMBERED:
+            pieces = self.processor.encode(word, out_type=str)
+            if len(word) <= REMEMBERED_CHARS and len(self.seen) < REMEMBERED:
                 self.seen[word] = pieces
         return pieces
 
@@ -93,29 +85,38 @@ class LanguageModel:
     def __init__(self, languages: list[str], priors: np.ndarray, pieces: dict[str, tuple[float, ...]], floor: tuple):
         self.languages, self.priors, self.pieces, self.floor = languages, priors, pieces, floor
         self.longest = max(map(len, pieces), default=1)
+        # beginnings of pieces that are none themselves lead on to longer ones
+        self.steps = {p[:i]: None for p in pieces for i in range(1, len(p))} | pieces
 
     def word(self, word: str) -> list[float]:
-        """Log probability of the word in each language, over all segmentations."""
-        get, longest, k = self.pieces.get, self.longest, len(self.languages)
-        # ways[i]: probability of the first i characters
-        ways: list[list[float]] = [[1.0] * k]
-        scale = 0.0
-        for end in range(1, len(word) + 1):
-            total = [0.0] * k
-            for start in range(max(0, end - longest), end):
-                p = get(word[start:end])
-                if p is None:
-                    if start < end - 1:
-                        continue
-                    p = self.floor
-                before = ways[start]
-                for j in range(k):
-                    total[j] += before[j] * p[j]
-            ways.append(total)
-            if (top := max(total)) < 1e-100:
-                ways = [[x / top for x in w] for w in ways]
-                scale += math.log(top)
-        return [math.log(max(x, 1e-300)) + scale for x in ways[-1]]
+        """Log probability of the word in each language, over all segmentations; words of any length."""
+        steps, k, none = self.steps, len(self.languages), ()
+        # ways[i % size]: probability of the first i characters, for the last places that a piece can reach from
+        size = self.longest + 1
+        ways = [[0.0] * k for _ in range(size)]
+        ways[0] = [1.0] * k
+        scale, end = [0.0] * k, len(word)
+        for start in range(end):
+            before = ways[start % size]
+            if min(before) < 1e-100:
+                # each language by itself: one may fall behind another by any factor
+                down = [x or 1.0 for x in before]
+                ways = [[x / d for x, d in zip(w, down)] for w in ways]
+                scale = [s + math.log(d) for s, d in zip(scale, down)]
+                before = ways[start % size]
+            ways[start % size] = [0.0] * k
+            for stop in range(start + 1, min(end, start + self.longest) + 1):
+                p = steps.get(word[start:stop], none)
+                if not p:
+                    if stop == start + 1:
+                        into = ways[stop % size]
+                        ways[stop % size] = [x + b * q for x, b, q in zip(into, before, self.floor)]
+                    if p is none:
+                        break
+                    continue
+                into = ways[stop % size]
+                ways[stop % size] = [x + b * q for x, b, q in zip(into, before, p)]
+        return [math.log(max(x, 1e-300)) + s for x, s in zip(ways[end % size], scale)]
 
 
 class _Scorer:
@@ -131,13 +132,14 @@ class _Scorer:
         return cls._open[key]
 
     def text(self, text: str) -> tuple[str, float]:
-        if not self.model.languages or _LETTER.search(text) is None:
+        # isalpha: a character of category L, so no numerals
+        if not self.model.languages or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
         total = self.model.priors.copy()
         for word, n in _split(text).items():
             if (logs := self.seen.get(word)) is None:
-                logs = np.array(self.model.word(word))
-                if len(self.seen) < REMEMBERED:
+                logs = np.array(self.model.word(_MARK + word))
+                if len(word) <= REMEMBERED_CHARS and len(self.seen) < REMEMBERED:
                     self.seen[word] = logs
             total += n * logs
         best = int(total.argmax())
@@ -168,7 +170,8 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     """Columns (doc_id, lang_pred, score), one row for each input row.
 
     A null text or one without a letter, and every text under a model without languages, is ``und`` with score 0.
-    Repeated rows and null ids are predicted like others. Ties go to the language that sorts first.
+    Repeated rows and null ids are predicted like others. Ties go to the language that sorts first. Words of any
+    length are summed over all their segmentations. No rows give no rows, further columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # names this model in workers that outlive it

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -105,6 +106,24 @@ def test_token_files_round_trip(spark, odd_docs, no_docs, word_vocabulary, tmp_p
     assert token_files.read_tokens(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_token_files_with_null_repeated_and_text_ids(spark, word_vocabulary, tmp_path, monkeypatch):
+    # many ranges, so that rows without an id fill several of them
+    monkeypatch.setattr(token_files, "RANGE_DOCS", 50)
+    rows = [(None, "one")] * 200 + [(None, None)] * 100 + [(f"id{i % 90:03}", f"text {i} of some") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    token_files.write_tokens(docs, word_vocabulary, str(tmp_path / "a"))
+    found = sorted(token_files.read_tokens(spark, str(tmp_path / "a")).collect(), key=lambda r: r.start)
+    assert [r.start for r in found] == np.cumsum([0, *[r.n_tokens for r in found[:-1]]]).tolist()
+    assert [r.doc_id for r in found] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i))
+    expected = sorted((str(i), crc(ids_of(word_vocabulary, t or "") + [2])) for i, t in rows)
+    assert sorted((str(r.doc_id), zlib.crc32(r.ids)) for r in found) == expected
+    sums = token_files.read_checksums(spark, str(tmp_path / "a")).collect()
+    assert sorted((r.start, r.ids_crc32) for r in sums) == [(r.start, zlib.crc32(r.ids)) for r in found]
+    assert token_files.read_document(spark, str(tmp_path / "a"), "id007") in {r.ids for r in found if r.doc_id == "id007"}
+    sizes = spark.read.parquet(str(tmp_path / "a/blocks")).groupBy("range").agg(F.sum(F.size("doc_ids")).alias("n")).collect()
+    assert max(r.n for r in sizes) < 200
+
+
 def test_cuckoo_filter_loses_no_key():
     rng = random.Random(1)
     keys = [rng.getrandbits(64) for _ in range(3000)]
@@ -335,6 +354,42 @@ def test_language_of_odd_rows(spark, odd_docs):
     assert {r.lang_pred for r in language_id.predict(odd_docs, nothing).collect()} == {"und"}
 
 
+def test_words_sum_all_segmentations():
+    rng = random.Random(5)
+    for _ in range(60):
+        pieces = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))): (rng.random(), rng.random()) for _ in range(12)}
+        model = language_id.LanguageModel(["x", "y"], np.zeros(2), pieces, (1e-9, 1e-9))
+
+        def ways(word, j):
+            if not word:
+                return 1.0
+            first = [(word[:1], (1e-9, 1e-9))] if word[:1] not in pieces else []
+            first += [(p, v) for p, v in pieces.items() if word.startswith(p)]
+            return sum(v[j] * ways(word[len(p) :], j) for p, v in first)
+
+        word = "".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))
+        assert np.allclose(model.word(word), [np.log(ways(word, 0)), np.log(ways(word, 1))])
+
+
+def test_very_long_words_are_one_chain():
+    model = language_id.LanguageModel(["x", "y"], np.zeros(2), {"a": (0.5, 0.25), "aa": (0.125, 0.5)}, (1e-9, 1e-9))
+    for n in (5, 60, 4_000):
+        # the chain's own recurrence in whole numbers of eighths and quarters
+        for j, (one, two, unit) in enumerate(((4, 8, 8), (1, 8, 4))):
+            before, now = 1, one
+            for _ in range(n - 1):
+                before, now = now, one * now + two * before
+            expected = (len(str(now)) - 15) * np.log(10) + np.log(int(str(now)[:15])) if now > 10**15 else np.log(now)
+            assert abs(model.word("a" * n)[j] - (expected - n * np.log(unit))) < 1e-6 * n
+
+
+def test_numerals_are_no_letters(spark):
+    model = language_id.LanguageModel(["x"], np.zeros(1), {"a": (0.5,)}, (1e-9,))
+    rows = [(1, "² ½ ① Ⅷ 12 _ !"), (2, "ª"), (3, "日"), (4, None), (5, ""), (6, "1a")]
+    found = language_id.predict(spark.createDataFrame(rows, "doc_id int, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "und", 2: "x", 3: "x", 4: "und", 5: "und", 6: "x"}
+
+
 def test_html_cases(spark):
     text = html_text.main_text
     assert text(None) == text("") == text("<html></html>") == ""
@@ -380,6 +435,50 @@ def test_html_names_do_not_rule_out_the_page(wrapper):
     assert found.count("many plain") == 60 and "side" not in found
 
 
+BROKEN = [
+    "<![foo[ x ]]>", "<![x", "<![]>", "<![ endif]-->", "<![if !IE]>", "<!", "<!>", "<![CDATA[ x", "<![CDATA[ x ]]>", "<!DOCTYPE", "<?php x",
+]
+
+
+@pytest.mark.parametrize("broken", BROKEN)
+def test_html_with_broken_declarations(broken):
+    page = f"<article><p>before the words {broken}</p><p>after</p></article>"
+    assert html_text.main_text(page) == "before the words\n\nafter"
+    # one that the page's end cuts off is text
+    assert html_text.main_text(broken) == ("" if ">" in broken else broken)
+
+
+def test_html_topics_are_no_furniture():
+    words = "".join(f"<p>{'many plain words ' * 12}{i}</p>" for i in range(6))
+    page = (
+        f"<body><article><h2 id='social-policy'>policy</h2>{words}<p class='market-share'>share</p>"
+        "<div class='related-work'>work</div><div class='share-buttons'>no</div><ul class='related-posts'><li>no</li></ul></article></body>"
+    )
+    found = html_text.main_text(page)
+    assert found.startswith("policy\n\nmany") and found.endswith("5\n\nshare\n\nwork")
+
+
+def test_html_without_article_keeps_headings_and_lists():
+    links = "<div><a href='/'>home</a></div><div><a href='/a'>all pages</a></div>"
+    words = "".join(f"<p>{'many plain words ' * 15}{i}</p>" for i in range(4))
+    tail = "<ul><li>first</li><li>second</li></ul><p>closing line</p>"
+    one = html_text.main_text(f"<body>{links}<h1>Title</h1>{words}{tail}<footer>no</footer>{links}</body>")
+    assert one.startswith("Title\n\nmany") and one.endswith("first\n\nsecond\n\nclosing line")
+    short = "<h3>Sub</h3><p>one</p><p>two <a>x</a></p><p>three</p><p>four</p>"
+    two = html_text.main_text(f"<body>{links}{words}<div class='ad'>no</div>{short}{links}</body>")
+    assert two.startswith("many") and two.endswith("Sub\n\none\n\ntwo x\n\nthree\n\nfour") and "no" not in two.split()
+
+
+@pytest.mark.parametrize("part", ["<span>x", "<b><h1>y", "<b>z</i>", "<p><b>q", "<li><dt>v", "<font><div>w"])
+def test_html_deep_nesting_takes_linear_time(part):
+    def seconds(times):
+        start = time.process_time()
+        html_text.main_text("<article>" + part * times)
+        return time.process_time() - start
+
+    assert seconds(16_000) < 16 * max(0.02, seconds(4_000))
+
+
 def test_license_paragraphs(spark, odd_docs):
     lines = [
         "Released under the MIT License.", "the report speaks of a licence to drive", "plain words of no meaning at all here",
