@@ -8,7 +8,6 @@ the languages' shares as prior this gives the posterior.
 
 from __future__ import annotations
 
-import math
 import re
 import uuid
 from collections import Counter
@@ -27,6 +26,9 @@ UNSEEN = 1e-9
 #: Words whose probabilities a worker remembers, and their greatest length.
 REMEMBERED = 300_000
 REMEMBERED_CHARS = 48
+#: New words, and words of texts, that are scored at a time: bounds of a worker's arrays.
+WORDS_AT_ONCE = 20_000
+TEXT_WORDS_AT_ONCE = 200_000
 UNDETERMINED = "und"
 
 _WORDS = re.compile(r"\S+")
@@ -38,7 +40,7 @@ def _split(text: str) -> Counter:
 
 
 class _Pieces:
-    """Counts of pieces of words by the vocabulary's own segmentation, remembered by word."""
+    """Piece ids of words by the vocabulary's own segmentation, remembered by word."""
 
     _open: dict[str, "_Pieces"] = {}
 
@@ -46,7 +48,7 @@ class _Pieces:
         from sentencepiece import SentencePieceProcessor
 
         self.processor = SentencePieceProcessor(model_file=path)
-        self.seen: dict[str, list[str]] = {}
+        self.seen: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> "_Pieces":
@@ -54,29 +56,33 @@ class _Pieces:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def of(self, word: str) -> list[str]:
-        if (pieces := self.seen.get(word)) is None:
-            pieces = self.processor.encode(word, out_type=str)
+    def counts(self, words: Counter) -> np.ndarray:
+        """How often each piece of the vocabulary occurs in the words."""
+        new = [w for w in words if w not in self.seen]
+        fresh = dict(zip(new, (np.array(x, "<u4").tobytes() for x in self.processor.encode(new, num_threads=1))))
+        ids = [self.seen.get(w) or fresh.get(w, b"") for w in words]
+        for word, own in fresh.items():
             if len(word) <= REMEMBERED_CHARS and len(self.seen) < REMEMBERED:
-                self.seen[word] = pieces
-        return pieces
+                self.seen[word] = own
+        times = np.repeat(np.fromiter(words.values(), float, len(words)), [len(x) // 4 for x in ids])
+        return np.bincount(np.frombuffer(b"".join(ids), "<u4"), times, self.processor.get_piece_size())
 
 
 def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    pieces_of = _Pieces.at(path).of
+    pieces = _Pieces.at(path)
+    schema = pa.schema([("lang", pa.string()), ("piece", pa.string()), ("n", pa.int64())])
     for batch in batches:
-        counts: dict[str, Counter] = {}
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-            own = counts.setdefault(lang, Counter())
-            for word, n in _split(text).items():
-                for piece in pieces_of(word):
-                    own[piece] += n
-        rows = [(lang, piece, n) for lang, own in counts.items() for piece, n in own.items()]
-        columns = list(zip(*rows)) or [(), (), ()]
-        types = (pa.string(), pa.string(), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "piece", "n"]
-        )
+        words: dict[str, Counter] = {}
+        for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
+            words.setdefault(lang, Counter()).update(_WORDS.findall(text.as_py()))
+        for lang, own in words.items():
+            counts = pieces.counts(own)
+            at = np.flatnonzero(counts)
+            names = pieces.processor.id_to_piece(at.tolist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(at), pa.string()), pa.array(names, pa.string()), pa.array(counts[at].astype(np.int64))],
+                schema=schema,
+            )
 
 
 class LanguageModel:
@@ -85,45 +91,91 @@ class LanguageModel:
     def __init__(self, languages: list[str], priors: np.ndarray, pieces: dict[str, tuple[float, ...]], floor: tuple):
         self.languages, self.priors, self.pieces, self.floor = languages, priors, pieces, floor
         self.longest = max(map(len, pieces), default=1)
-        # beginnings of pieces that are none themselves lead on to longer ones
-        self.steps = {p[:i]: None for p in pieces for i in range(1, len(p))} | pieces
+        # numbers of the pieces; beginnings of pieces that are none themselves lead on to longer ones
+        self.steps = {p[:i]: -1 for p in pieces for i in range(1, len(p))} | {p: i for i, p in enumerate(pieces)}
+        self.lengths = np.array([*map(len, pieces), 1])
+        self.chances = np.array([*pieces.values(), floor], float).reshape(len(pieces) + 1, len(languages))
+
+    def _arcs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces at all places of the words: word, start, length and number of the piece."""
+        get, longest, unseen = self.steps.get, self.longest, len(self.pieces)
+        numbers: list[int] = []
+        ends: list[int] = []
+        add, ended = numbers.append, ends.append
+        for word in words:
+            end = len(word)
+            for start in range(end):
+                # a character by itself is always a way on
+                piece = get(word[start : start + 1])
+                add(unseen if piece is None or piece < 0 else piece)
+                if piece is not None:
+                    for stop in range(start + 2, min(end, start + longest) + 1):
+                        piece = get(word[start:stop])
+                        if piece is None:
+                            break
+                        if piece >= 0:
+                            add(piece)
+                ended(len(numbers))
+        sizes = np.array([len(w) for w in words])
+        per_start = np.diff(ends, prepend=0)
+        starts = np.arange(len(ends)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        owners = np.repeat(np.arange(len(words)), sizes)
+        number = np.array(numbers)
+        return np.repeat(owners, per_start), np.repeat(starts, per_start), self.lengths[number], number
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Log probabilities (word, language), over all segmentations of each word, for words of any length."""
+        k, size = len(self.languages), self.longest + 1
+        out = np.zeros((len(words), k))
+        if not words:
+            return out
+        owner, start, length, number = self._arcs(words)
+        # by place, then by length: a word has at most one piece of a kind, so that sums never collide
+        order = np.lexsort((length, start))
+        owner, start, length, chance = owner[order], start[order], length[order], number[order]
+        cuts = np.flatnonzero(np.diff(start * (size + 1) + length)) + 1
+        sizes = np.array([len(w) for w in words])
+        # ways[i % size]: probability of the first i characters, for the places that a piece can reach from
+        ways = np.zeros((size, len(words), k))
+        ways[0] = 1.0
+        at = -1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(owner)]):
+            if start[low] != at:
+                if at >= 0:
+                    ways[at % size] = 0.0
+                at = int(start[low])
+                self._settle(ways, at, sizes, out)
+            who = owner[low:high]
+            ways[(at + int(length[low])) % size, who] += ways[at % size, who] * self.chances[chance[low:high]]
+        ways[at % size] = 0.0
+        self._settle(ways, at + 1, sizes, out)
+        return out
+
+    @staticmethod
+    def _settle(ways: np.ndarray, at: int, sizes: np.ndarray, out: np.ndarray) -> None:
+        """Take down the words that end here; scale up each word and language that has become too small."""
+        here = ways[at % len(ways)]
+        done = sizes == at
+        if done.any():
+            out[done] += np.log(np.maximum(here[done], 1e-300))
+        small = (here < 1e-100) & (here > 0) & (sizes > at)[:, None]
+        if small.any():
+            down = np.where(small, here, 1.0)
+            out += np.log(down)
+            ways /= down
 
     def word(self, word: str) -> list[float]:
-        """Log probability of the word in each language, over all segmentations; words of any length."""
-        steps, k, none = self.steps, len(self.languages), ()
-        # ways[i % size]: probability of the first i characters, for the last places that a piece can reach from
-        size = self.longest + 1
-        ways = [[0.0] * k for _ in range(size)]
-        ways[0] = [1.0] * k
-        scale, end = [0.0] * k, len(word)
-        for start in range(end):
-            before = ways[start % size]
-            if min(before) < 1e-100:
-                # each language by itself: one may fall behind another by any factor
-                down = [x or 1.0 for x in before]
-                ways = [[x / d for x, d in zip(w, down)] for w in ways]
-                scale = [s + math.log(d) for s, d in zip(scale, down)]
-                before = ways[start % size]
-            ways[start % size] = [0.0] * k
-            for stop in range(start + 1, min(end, start + self.longest) + 1):
-                p = steps.get(word[start:stop], none)
-                if not p:
-                    if stop == start + 1:
-                        into = ways[stop % size]
-                        ways[stop % size] = [x + b * q for x, b, q in zip(into, before, self.floor)]
-                    if p is none:
-                        break
-                    continue
-                into = ways[stop % size]
-                ways[stop % size] = [x + b * q for x, b, q in zip(into, before, p)]
-        return [math.log(max(x, 1e-300)) + s for x, s in zip(ways[end % size], scale)]
+        return self.words([word])[0].tolist()
 
 
 class _Scorer:
+    """Scores texts with a model; remembers the words' probabilities."""
+
     _open: dict[str, "_Scorer"] = {}
 
     def __init__(self, model: LanguageModel):
         self.model, self.seen = model, {}
+        self.logs = np.zeros((0, len(model.languages)))
 
     @classmethod
     def of(cls, key: str, model: LanguageModel) -> "_Scorer":
@@ -131,19 +183,59 @@ class _Scorer:
             cls._open = {key: cls(model)}
         return cls._open[key]
 
-    def text(self, text: str) -> tuple[str, float]:
-        # isalpha: a character of category L, so no numerals
-        if not self.model.languages or not any(map(str.isalpha, text)):
-            return UNDETERMINED, 0.0
-        total = self.model.priors.copy()
-        for word, n in _split(text).items():
-            if (logs := self.seen.get(word)) is None:
-                logs = np.array(self.model.word(_MARK + word))
-                if len(word) <= REMEMBERED_CHARS and len(self.seen) < REMEMBERED:
-                    self.seen[word] = logs
-            total += n * logs
-        best = int(total.argmax())
-        return self.model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+    def _words(self, words: list[str]) -> np.ndarray:
+        places = list(map(self.seen.get, words))
+        new = sorted((w for w, p in zip(words, places) if p is None), key=len)
+        found = np.zeros((len(words), len(self.model.languages)))
+        known = np.array([p is not None for p in places], bool)
+        found[known] = self.logs[[p for p in places if p is not None]]
+        logs: list[np.ndarray] = []
+        low = 0
+        while low < len(new):
+            # words of like length together, in groups of some hundred thousand characters
+            high = low + max(1, min(WORDS_AT_ONCE, WORDS_AT_ONCE * REMEMBERED_CHARS // (8 * len(new[low]))))
+            logs.append(self.model.words([_MARK + w for w in new[low:high]]))
+            low = high
+        if new:
+            own = np.concatenate(logs)
+            place = {w: i for i, w in enumerate(new)}
+            found[~known] = own[[place[w] for w, p in zip(words, places) if p is None]]
+            # the shortest come first
+            fit = sum(len(w) <= REMEMBERED_CHARS for w in new[: max(0, REMEMBERED - len(self.seen))])
+            self.seen.update(zip(new[:fit], range(len(self.logs), len(self.logs) + fit)))
+            self.logs = np.concatenate([self.logs, own[:fit]]) if fit else self.logs
+        return found
+
+    def texts(self, texts: list[str]) -> list[tuple[str, float]]:
+        """The language and its probability for each text."""
+        out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
+        rows, places, counts, sizes, local = [], [], [], [], {}
+
+        def score() -> None:
+            logs = self._words(list(local))
+            weighed = logs[places] * np.array(counts, float)[:, None]
+            totals = np.add.reduceat(weighed, np.cumsum([0, *sizes[:-1]]), axis=0) + self.model.priors
+            best = totals.argmax(axis=1)
+            chance = 1.0 / np.exp(totals - totals.max(axis=1)[:, None]).sum(axis=1)
+            for row, b, c in zip(rows, best.tolist(), chance.tolist()):
+                out[row] = (self.model.languages[b], c)
+            for held in (rows, places, counts, sizes, local):
+                held.clear()
+
+        for row, text in enumerate(texts):
+            # isalpha: a character of category L, so no numerals
+            if not self.model.languages or not any(map(str.isalpha, text)):
+                continue
+            words = _split(text)
+            rows.append(row)
+            sizes.append(len(words))
+            places.extend(local.setdefault(w, len(local)) for w in words)
+            counts.extend(words.values())
+            if len(places) >= TEXT_WORDS_AT_ONCE:
+                score()
+        if rows:
+            score()
+        return out
 
 
 def train(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
@@ -182,7 +274,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer.of(key, shared.value)
         for batch in batches:
-            found = [scorer.text(t) for t in batch.column("text").to_pylist()]
+            found = scorer.texts(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
