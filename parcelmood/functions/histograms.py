@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelmood.functions.order_statistics import column_quantiles, numbers_of, reached
 from parcelmood.functions.ordering import SLICE, running_totals, sliced
 from parcelmood.functions.scalars import to_double
 
@@ -43,6 +44,15 @@ def value_histogram(
     )
 
 
+def binned_counts(frame: DataFrame, edges: dict[str, Sequence[float]]) -> DataFrame:
+    """Rows (feature, bin, n): values of each column by the number of its edges that they reach.
+
+    Bins are found before anything is shuffled, so what is shuffled is counts.
+    """
+    found = reached(numbers_of(frame, list(edges)), edges)
+    return found.groupBy("feature", F.col("reached").alias("bin")).agg(F.count("*").alias("n"))
+
+
 def ranked_histogram(histogram: DataFrame) -> DataFrame:
     """The histogram with the number of rows below each value of its feature.
 
@@ -103,7 +113,11 @@ def quantiles_of(ranked: DataFrame, quantiles: Sequence[Rational]) -> DataFrame:
 def exact_quantiles(
     frame: DataFrame, columns: Sequence[str], quantiles: Sequence[Rational]
 ) -> DataFrame:
-    return quantiles_of(ranked_histogram(value_histogram(frame, columns)), quantiles)
+    """(feature, n_rows, quantiles) per column with a value; by brackets, see ``order_statistics``."""
+    rows = column_quantiles(frame, columns, quantiles)
+    return frame.sparkSession.createDataFrame(
+        rows, "feature string, n_rows bigint, quantiles array<double>"
+    )
 
 
 def bin_edges(ranked: DataFrame, bins: int) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
-from parcelmood.functions.histograms import bin_edges, ranked_histogram, value_histogram
+from parcelmood.functions.histograms import binned_counts
+from parcelmood.functions.order_statistics import column_quantiles
 from parcelmood.functions.scalars import to_double
 from parcelmood.operators.strength import feature_values, univariate_gini
 
@@ -32,31 +33,27 @@ def stability_index(
 ) -> DataFrame:
     """PSI of other against train over train's equal-frequency bins [a, b).
 
-    Both histograms collapse to at most ``bins`` groups per feature; a bin that
-    both lack adds nothing, so the union of present bins is enough.
+    The edges come from closing brackets, and rows are counted by bin where they are read: at most ``bins`` groups
+    per feature and side leave a task. A bin that both lack adds nothing, so the union of present bins is enough.
     """
     present = [c for c in columns if c in train.columns and c in other.columns]
-    base = ranked_histogram(value_histogram(train, present))
-    edges = bin_edges(base, bins)
-    tagged = base.select("feature", "value", "n", F.lit(0).alias("side")).unionByName(
-        value_histogram(other, present).select("feature", "value", "n", F.lit(1).alias("side"))
+    found = column_quantiles(train, present, [(i, bins) for i in range(bins + 1)])
+    edges = {c: list(dict.fromkeys(quantiles)) for c, _, quantiles in found}
+    if not edges:
+        return train.sparkSession.createDataFrame([], "feature string, psi double")
+    shape = train.sparkSession.createDataFrame(
+        [(c, len(e), e[0] != e[-1]) for c, e in edges.items()], "feature string, n_edges int, varied boolean"
     )
-    value = F.col("value")
-    # edges has one row per feature
-    placed = tagged.join(F.broadcast(edges), "feature").select(
-        "feature",
-        "side",
-        "n",
-        "n_values",
-        F.size("edges").alias("n_edges"),
-        F.size(F.filter("inner_edges", lambda e: e <= value)).alias("bin"),
-    )
-    counts = placed.groupBy("feature", "bin").agg(
-        F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("expected"),
-        F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("observed"),
-        F.max("n_values").alias("n_values"),
-        F.max("n_edges").alias("n_edges"),
+    inner = {c: e[1:-1] for c, e in edges.items()}
+    both = binned_counts(train, inner).select("feature", "bin", F.col("n").alias("expected"), F.lit(0).alias("observed"))
+    both = both.unionByName(
+        binned_counts(other, inner).select("feature", "bin", F.lit(0).alias("expected"), F.col("n").alias("observed"))
     )
+    # shape has one row per feature
+    counts = (
+        both.groupBy("feature", "bin").agg(F.sum("expected").alias("expected"), F.sum("observed").alias("observed"))
+        .join(F.broadcast(shape), "feature")
+    )
     totals = counts.groupBy("feature").agg(
         F.sum("expected").alias("expected_total"), F.sum("observed").alias("observed_total")
     )
@@ -67,7 +64,7 @@ def stability_index(
         F.col("observed") / F.nullif(F.col("observed_total"), F.lit(0)), eps
     )
     usable = (
-        (F.max("n_values") > 1)
+        F.bool_and("varied")
         & (F.max("n_edges") >= 3)
         & (F.max("expected_total") > 0)
         & (F.max("observed_total") > 0)

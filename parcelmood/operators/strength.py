@@ -8,37 +8,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
-from parcelmood.functions.histograms import bin_edges, ranked_histogram, value_histogram
+from parcelmood.functions.histograms import area_rows, bin_edges, ranked_histogram, value_histogram
 from parcelmood.functions.scalars import half_even
 
 
 def feature_values(
     frame: DataFrame, columns: Sequence[str], target: str = C.TARGET
 ) -> DataFrame:
-    """Ranked histogram of all columns with class counts, written once.
+    """Histogram of all columns with class counts, which Gini, WOE and information value read.
 
-    Gini, WOE and information value all read it; its size is that of the
-    distinct values, not of the rows.
+    Its size is that of the distinct values, not of the rows.
     """
-    return ranked_histogram(value_histogram(frame, columns, target))
+    return value_histogram(frame, columns, target)
 
 
 def univariate_gini(values: DataFrame) -> DataFrame:
     """|2 AUC - 1| of each raw column; 0 with too few rows or no variation."""
-    area = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
-    per_feature = values.groupBy("feature").agg(
-        area.alias("area"),
-        F.max("pos_total").alias("pos"),
-        F.max("neg_total").alias("neg"),
-        F.count("*").alias("n_values"),
-    )
+    per_feature = area_rows(values, ["feature"])
     pairs = F.col("pos").cast("double") * F.col("neg")
     usable = (
         (F.col("pos") + F.col("neg") >= C.MIN_STAT_ROWS) & (F.col("n_values") > 1) & (pairs > 0)
     )
     return per_feature.select(
         "feature",
-        F.when(usable, F.abs(2 * F.col("area") / pairs - 1)).otherwise(0.0).alias("gini"),
+        F.when(usable, F.abs(2 * F.col("auc") - 1)).otherwise(0.0).alias("gini"),
     )
 
 
@@ -48,6 +41,7 @@ def woe_table(values: DataFrame, bins: int = C.STAT_BINS) -> DataFrame:
     Few distinct values are buckets of their own; else equal-frequency buckets
     (a, b].  From the histogram on, a feature has at most ``bins`` groups.
     """
+    values = ranked_histogram(values)
     edges = bin_edges(values, bins)
     value = F.col("value")
     bucket = F.when(

@@ -2,18 +2,21 @@
 
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
-from parcelmood.functions.histograms import auc_by, exact_quantiles
+from parcelmood.functions import order_statistics
+from parcelmood.functions.histograms import auc_by, binned_counts, exact_quantiles
 from parcelmood.functions.ordering import running_best, running_totals
 from parcelmood.operators import metrics, selection, strength
 from parcelmood.operators.cleaning import OrderCleaner, OrderCleanerModel
 from parcelmood.operators.comparison import audit_cap, importance_share, stability_score
 from parcelmood.operators.sampling import class_balance, fixed_sample, stratified_folds
+from parcelmood.session import shared_dir
 
 
 def brute_auc(pairs):
@@ -230,3 +233,50 @@ def test_sample_is_the_first_in_digest_order(spark):
     whole = [r.order_id for r in frame.orderBy(*digest_order(["order_id"])).collect()]
     for size in (0, 1, 700, 5000, 9000):
         assert [r.order_id for r in fixed_sample(frame, size, ["order_id"]).collect()] == whole[:size]
+
+
+@pytest.mark.parametrize("few", [20_000, 20])
+def test_places_found_by_closing_brackets(spark, monkeypatch, few):
+    """Ties, nulls, infinities and zeros of either sign; with few rows to rank the brackets close over several rounds."""
+    monkeypatch.setattr(order_statistics, "FEW", few)
+    rng = random.Random(7)
+    count = 20_000
+    columns = {
+        "a": [rng.gauss(0, 1) for _ in range(count)],
+        "b": [rng.choice([1.0, 2.0]) for _ in range(count)],
+        "c": [rng.choice([rng.gauss(0, 1), 1.0, -2.0, None]) for _ in range(count)],
+        "d": [None] * count,
+        "e": [None] * (count - 1) + [3.5],
+        "f": [rng.choice([float("inf"), float("-inf"), 0.0, -0.0, 5.0]) for _ in range(count)],
+    }
+    frame = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).persist()
+    quantiles = [(0, 1), (1, 100), (1, 3), (1, 2), (99, 100), (1, 1)]
+    found = {c: (n, q) for c, n, q in order_statistics.column_quantiles(frame, list(columns), quantiles)}
+    frame.unpersist()
+    assert set(found) == set(columns) - {"d"}
+    for name, (rows, got) in found.items():
+        ordered = sorted(v for v in columns[name] if v is not None)
+        assert rows == len(ordered)
+        for (num, den), value in zip(quantiles, got):
+            at, part = divmod(num * (rows - 1), den)
+            low, high = ordered[at], ordered[min(at + 1, rows - 1)]
+            expected = low + (high - low) * (part / den)
+            assert value == expected or (math.isnan(expected) and math.isnan(value))
+
+
+def test_counts_decide_whatever_is_proposed(spark):
+    frame = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
+    places = {0, 10, 60, 75, 99}
+    for proposed in ({60.0}, {-5.0, 500.0}, {0.5, 75.0}):
+        found = order_statistics.values_at(frame, {"x": places}, {"x": proposed})
+        assert found == {("x", k): float(k) for k in places}
+
+
+def test_quantile_jobs_neither_sort_nor_store_the_rows(spark):
+    frame = spark.createDataFrame([(float(i % 700), float(i)) for i in range(5_000)], "x double, y double")
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = {f for f in folder.rglob("*")}
+    order_statistics.column_quantiles(frame, ["x", "y"], [(1, 2)])
+    assert {f for f in folder.rglob("*")} == before
+    plan = binned_counts(frame, {"x": [1.0, 2.0]})._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Sort" not in plan
