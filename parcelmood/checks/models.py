@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
-from parcelmood.checks.base import features_of, master_of, query, stored_features
+from parcelmood.checks.base import features_of, master_of, query, rounded, stored_features
 from parcelmood.checks.stats import clean_splits
 from parcelmood.functions.scalars import half_even
 from parcelmood.operators import comparison, importance, metrics, modeling, panel
@@ -91,13 +91,22 @@ def baseline_model(spark, directory):
     return metrics.metrics_by_split(scored)
 
 
-@query("score_new_data", """
-SELECT order_id, review_id, true AS proba_valida, true AS pred_coherente FROM feat WHERE dataset_split = 'predict'""")
-def score_new_data(spark, directory):
-    """The unlabeled month, scored by the baseline: a probability for each row, and a prediction that follows from it."""
+def _scored_month(spark, directory):
     frame, _, model = _scorer(spark, directory)
-    scored = modeling.score_new_data(model, rows_of_split(frame, "predict"))
-    scored = scored.withColumnRenamed("proba_satisfecho", "proba")
+    return modeling.score_new_data(model, rows_of_split(frame, "predict"))
+
+
+@query("score_new_data")
+def score_new_data(spark, directory):
+    """The unlabeled month, scored by the baseline."""
+    return _scored_month(spark, directory).select(*ROW, rounded("proba_satisfecho", 6), "pred_satisfecho")
+
+
+@query("score_new_data_check", """
+SELECT order_id, review_id, true AS proba_valida, true AS pred_coherente FROM feat WHERE dataset_split = 'predict'""")
+def score_new_data_check(spark, directory):
+    """What holds of these scores: a probability for each row, and a prediction that follows from it."""
+    scored = _scored_month(spark, directory).withColumnRenamed("proba_satisfecho", "proba")
     follows = F.col("pred_satisfecho").eqNullSafe((F.col("proba") >= 0.5).cast("int"))
     return scored.select(*ROW, _valid(), follows.alias("pred_coherente"))
 
@@ -200,10 +209,17 @@ def _oof(spark, directory, names):
     return frame, variables, comparison.append_rows(*parts)
 
 
-@query("oof_predictions", """
+@query("oof_predictions")
+def oof_predictions(spark, directory):
+    """Out-of-fold probabilities of every training row by each model."""
+    _, _, oof = _oof(spark, directory, STACK_MODELS)
+    return oof.withColumn("proba", half_even(F.col("proba"), 6))
+
+
+@query("oof_predictions_check", """
 SELECT order_id, review_id, is_satisfied, m AS modelo, true AS proba_valida
 FROM feat, (VALUES ('logistic'), ('elastic_net')) v(m) WHERE dataset_split = 'train'""")
-def oof_predictions(spark, directory):
+def oof_predictions_check(spark, directory):
     """Every training row is scored once by each model, out of fold; ``stratified_folds`` checks the folds."""
     _, _, oof = _oof(spark, directory, STACK_MODELS)
     return oof.select(*ROW, C.TARGET, "modelo", _valid())
@@ -272,11 +288,7 @@ def importance_mitigation(spark, directory):
 
 # ---- new months ------------------------------------------------------------------------------
 
-@query("monthly_stream_scoring", f"""
-SELECT order_id, review_id, purchase_month, true AS proba_valida, true AS igual FROM derived
-WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL
-  AND purchase_month > '{FIXTURE_CALENDAR.train_end}'""")
-def monthly_stream_scoring(spark, directory):
+def _streamed(spark, directory):
     """Months after training arrive as files and are scored by a stream with a frozen model."""
     frame = features_of(spark, directory)
     model = modeling.fit_scorer(
@@ -295,5 +307,21 @@ def monthly_stream_scoring(spark, directory):
     )
     streamed = scored_orders(spark, output).select(*ROW, C.MONTH, "proba_satisfecho")
     batch = score_orders(model, stored).select(*ROW, F.col("proba_satisfecho").alias("por_lote"))
-    both = streamed.withColumnRenamed("proba_satisfecho", "proba").join(batch, ROW, "full")
+    return streamed.join(batch, ROW, "full")
+
+
+@query("monthly_stream_scoring")
+def monthly_stream_scoring(spark, directory):
+    """Scores of the stream, and whether each equals the batch's."""
+    same = F.col("proba_satisfecho").eqNullSafe(F.col("por_lote")).alias("igual")
+    return _streamed(spark, directory).select(*ROW, C.MONTH, rounded("proba_satisfecho", 6), same)
+
+
+@query("monthly_stream_scoring_check", f"""
+SELECT order_id, review_id, purchase_month, true AS proba_valida, true AS igual FROM derived
+WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL
+  AND purchase_month > '{FIXTURE_CALENDAR.train_end}'""")
+def monthly_stream_scoring_check(spark, directory):
+    """Each order of these months is scored once, with a probability that equals the batch's."""
+    both = _streamed(spark, directory).withColumnRenamed("proba_satisfecho", "proba")
     return both.select(*ROW, C.MONTH, _valid(), F.col("proba").eqNullSafe(F.col("por_lote")).alias("igual"))
