@@ -145,6 +145,11 @@ def _pack(pieces: pa.Table, capacity: int) -> pa.Table:
     return pieces
 
 
+def dealt(pieces: DataFrame, shards: int) -> DataFrame:
+    """The pieces without their key, each with one of ``shards`` numbers; equal pieces get different ones."""
+    return pieces.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).drop("key")
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -163,16 +168,16 @@ def pack(
     id_type = texts.schema["doc_id"].dataType.simpleString()
     pieces_type = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint"
     packed_type = f"{pieces_type}, shard bigint, bin bigint, offset bigint, fill bigint"
-    # the number of rows, which file footers give, decides how many shards there are
-    shards = max(1, -(-docs.count() // shard_pieces))
     pieces = texts.mapInArrow(lambda b: _cut(b, tokenizer, capacity, end_id), pieces_type)
+    # stored once with a key of its own for every piece, which deals equal rows evenly
+    pieces = stored(pieces.withColumn("key", F.monotonically_increasing_id()), "pieces")
+    # the number of rows, which file footers give, decides how many shards there are
+    shards = max(1, -(-pieces.count() // shard_pieces))
 
     def packed(frame: DataFrame) -> DataFrame:
         return frame.groupBy("shard").applyInArrow(lambda t: _pack(t, capacity), packed_type)
 
-    first = stored(
-        packed(pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))), "bins"
-    )
+    first = stored(packed(dealt(pieces, shards)), "bins")
     loose = F.col("fill") < int(LOOSE * capacity)
     again = packed(first.filter(loose).drop("bin", "offset", "fill").withColumn("shard", F.floor(F.col("shard") / MERGED)))
 
