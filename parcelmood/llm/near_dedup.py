@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmood.llm.base import BLANKS, ascii_lower, keep_all_but, query, stored, table, texts_of
+from parcelmood.llm.base import BLANKS, BROADCAST_NAMES, ascii_lower, keep_all_but, query, stored, table, texts_of
 from parcelmood.llm.components import components
 from parcelmood.llm.setsketch import SetSketch, slope
 
@@ -92,11 +92,12 @@ def _profiles(batches: Iterator[pa.RecordBatch], size: int, sketch: SetSketch) -
             [
                 batch.column("node"),
                 batch.column("doc_id"),
+                batch.column("raw"),
                 pa.array(digests, pa.binary()),
                 pa.array(counts, pa.int64()),
                 pa.array(registers, pa.binary()),
             ],
-            names=["node", "doc_id", "digest", "n_shingles", "registers"],
+            names=["node", "doc_id", "raw", "digest", "n_shingles", "registers"],
         )
 
 
@@ -167,18 +168,28 @@ def _block_links(block: pa.Table, threshold: int) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], size: int, sketch: SetSketch) -> Iterator[pa.RecordBatch]:
+    # a text that is repeated under its id comes as often as it is repeated
+    seen = set()
     for batch in batches:
-        keep, blobs = [], []
-        for row, (text, digest) in enumerate(zip(batch.column("text").to_pylist(), batch.column("digest").to_pylist())):
+        keep, blobs, registers = [], [], []
+        columns = (batch.column(c).to_pylist() for c in ("node", "text", "digest"))
+        for row, (node, text, digest) in enumerate(zip(*columns)):
+            if node in seen:
+                continue
             words = words_of(text)
-            # another text under the same id
-            if sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest()[:16] == digest:
-                keep.append(row)
-                blobs.append(shingle_hashes(words, size).tobytes())
+            # another text with the same id and hash
+            if sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest()[:16] != digest:
+                continue
+            seen.add(node)
+            keep.append(row)
+            hashes = shingle_hashes(words, size)
+            blobs.append(hashes.tobytes())
+            registers.append(sketch.sketch(hashes).tobytes())
         rows = pa.array(keep, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(c).take(rows) for c in ("node", "root", "blocks", "registers")] + [pa.array(blobs, pa.binary())],
+            [batch.column(c).take(rows) for c in ("node", "root", "blocks")]
+            + [pa.array(registers, pa.binary()), pa.array(blobs, pa.binary())],
             names=["node", "root", "blocks", "registers", "hashes"],
         )
 
@@ -228,10 +239,11 @@ def near_groups(
     texts = texts_of(docs, id_col, text_col)
     id_type = texts.schema["doc_id"].dataType.simpleString()
     sketch = SetSketch(bands * rows)
+    raw = F.xxhash64("text")
     profiles = stored(
-        texts.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text").mapInArrow(
+        texts.select(F.monotonically_increasing_id().alias("node"), "doc_id", raw.alias("raw"), "text").mapInArrow(
             lambda b: _profiles(b, words, sketch),
-            f"node bigint, doc_id {id_type}, digest binary, n_shingles bigint, registers binary",
+            f"node bigint, doc_id {id_type}, raw bigint, digest binary, n_shingles bigint, registers binary",
         ),
         "profiles",
     )
@@ -249,17 +261,20 @@ def near_groups(
     )
     clusters = stored(components(_stars(banded, nodes)), "clusters")
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    wanted = (
+    names = profiles.select("node", F.col("doc_id").alias("of"), F.col("raw").alias("of_raw"), "digest")
+    # some 60 bytes a document that met another one; texts are found by id and hash, so a null id is no hot key
+    wanted = stored(
         clusters.join(sizes, "root")
         .select("node", "root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        .join(profiles.select("node", F.col("doc_id").alias("of"), "digest"), "node")
-        .join(nodes.select("node", "registers"), "node")
-    )
-    fetched = wanted.join(texts, F.col("of").eqNullSafe(F.col("doc_id"))).select(
-        "node", "root", "blocks", "digest", "registers", "text"
+        .join(names, "node"), "wanted",
+    )
+    few = wanted.count() <= BROADCAST_NAMES
+    same = F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_raw") == raw)
+    fetched = texts.join(F.broadcast(wanted) if few else wanted, same).select(
+        "node", "root", "blocks", "digest", "text"
     )
     sets = fetched.mapInArrow(
-        lambda b: _sets(b, words), "node bigint, root bigint, blocks int, registers binary, hashes binary"
+        lambda b: _sets(b, words, sketch), "node bigint, root bigint, blocks int, registers binary, hashes binary"
     )
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -75,6 +76,16 @@ def test_packing_lays_out_every_token_once(spark, odd_docs, no_docs, word_vocabu
     assert packing.pack(no_docs, word_vocabulary).count() == 0
 
 
+def test_packing_deals_equal_rows_to_all_shards(spark, word_vocabulary):
+    docs = spark.range(10_000).selectExpr("cast(null as long) doc_id", "if(id % 3 = 0, null, '') text")
+    keyed = docs.select("doc_id", F.monotonically_increasing_id().alias("key"))
+    sizes = [r["count"] for r in packing.dealt(keyed, 10).groupBy("shard").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 1200
+    found = packing.pack(docs, word_vocabulary, shard_pieces=1000).groupBy("sequence_id").agg(
+        F.sum("length").alias("n"), F.countDistinct("offset").alias("places")).collect()
+    assert sum(r.n for r in found) == 10_000 and all(r.n == r.places <= 4096 for r in found) and len(found) == 3
+
+
 def test_best_two_fit_exchanges_the_smallest():
     # 60 + 30 leaves 10; 25 + 15 fill the gap of 40 exactly, 30 then goes elsewhere
     bins = packing.best_two_fit(np.array([60, 30, 25, 15]), 100)
@@ -212,6 +223,24 @@ def test_near_groups_of_odd_rows(spark, odd_docs, no_docs):
     assert near_dedup.near_groups(no_docs).count() == 0 and near_dedup.drop_near_copies(no_docs).count() == 0
 
 
+def test_near_copies_without_id_are_fetched_one_by_one(spark, monkeypatch):
+    base = " ".join(f"w{i}" for i in range(120))
+    texts = [f"{base} x{i}" for i in range(40)] + ["quite another text of some few words here"]
+    rows = [(None, t) for t in texts for _ in range(3)] + [(7, f"{base} x0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for bound in (200_000, 0):
+        monkeypatch.setattr(near_dedup, "BROADCAST_NAMES", bound)
+        found = near_dedup.near_groups(docs).collect()
+        assert len(found) == len(rows)
+        assert sum(r.component_id == 7 for r in found) == 121 and sum(r.kept for r in found) == 4
+    words = near_dedup.words_of(texts[0])
+    digest = near_dedup.sha256(" ".join(words).encode()).digest()[:16]
+    batch = pa.RecordBatch.from_pylist([
+        {"node": 1, "root": 1, "blocks": 1, "digest": digest, "text": t} for t in (texts[0], texts[1], texts[0])])
+    sketch = near_dedup.SetSketch(400)
+    assert [b.num_rows for b in near_dedup._sets(iter([batch, batch]), 5, sketch)] == [1, 0]
+
+
 def test_strangers_in_a_star_meet_again(spark):
     sketch = setsketch.SetSketch(16)
     rng = np.random.default_rng(0)
