@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
-from parcelmood.functions.ordering import running_totals
 from parcelmood.functions.scalars import half_even, ratio
 from parcelmood.operators.features import numeric_columns
 
@@ -54,20 +53,40 @@ def stratified_folds(
     folds: int = C.CV_FOLDS,
     seed: int = C.SEED,
 ) -> DataFrame:
-    """Add ``fold``: shuffled within each class, class sizes differ by one at most.
+    """Add ``fold``: shuffled within each class, class sizes differ by one at most where no row id is repeated.
 
-    A class may hold most rows, so its places come from sliced running counts.
+    A class in the order of its rows' digests is cut into equal ranges. Counts by digest prefix tell in which prefix a
+    cut lies, and only the digests there are ranked; then every row finds its fold by comparing its own digest, so the
+    rows themselves are neither shuffled nor stored. Rows with the same id have one digest and so one fold.
     """
-    order = hash_order(row_id, seed)
-    placed = running_totals(
-        frame.withColumns({"_one": F.lit(1), "_h": order[0]}),
-        [label],
-        [F.col("_h"), *order[1:]],
-        ["_one"],
-    )
-    return placed.withColumn("fold", (F.col("_one_before") % folds).cast("int")).drop(
-        "_one", "_one_before", "_one_total", "_h"
+    digest = digest_order(row_id, seed)[0]
+    named = frame.select(F.col(label).alias("_class"), digest.alias("_digest"))
+    prefixed = named.withColumn("_prefix", F.substring("_digest", 1, PREFIX_DIGITS))
+    # at most 16 ** PREFIX_DIGITS rows a class
+    counts = prefixed.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("_class").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("n").over(Window.partitionBy("_class"))
+    placed = counts.withColumns({"start": F.coalesce(F.sum("n").over(before), F.lit(0)), "total": total})
+    # fold f begins at place f * (n // folds) + min(f, n % folds)
+    firsts = F.transform(
+        F.sequence(F.lit(1), F.lit(folds - 1)),
+        lambda f: f * F.floor(F.col("total") / folds) + F.least(f, F.col("total") % folds),
     )
+    inside = F.filter(firsts, lambda at: (at >= F.col("start")) & (at < F.col("start") + F.col("n")))
+    cuts = placed.where(F.size(inside) > 0) if folds > 1 else placed.limit(0)
+    cuts = cuts.select(F.col("_class").alias("c"), F.col("_prefix").alias("p"), "start", inside.alias("firsts"))
+    # at most folds - 1 prefixes a class
+    same = F.col("_class").eqNullSafe(F.col("c")) & (F.col("_prefix") == F.col("p"))
+    near = prefixed.join(F.broadcast(cuts), same).groupBy("_class", "_digest", "p", "start", "firsts")
+    ordered = Window.partitionBy("_class", "p").orderBy("_digest")
+    ranked = near.agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.col("start") + F.sum("n").over(ordered))
+    holds = F.filter("firsts", lambda at: (at >= F.col("upto") - F.col("n")) & (at < F.col("upto")))
+    found = ranked.select("_class", F.col("_digest").alias("cut"), F.explode(holds)).collect()
+    fold = F.lit(0)
+    for r in found:
+        beyond = F.col(label).eqNullSafe(F.lit(r._class)) & (digest >= r.cut)
+        fold = fold + F.when(beyond, 1).otherwise(0)
+    return frame.withColumn("fold", fold.cast("int"))
 
 
 def class_balance(frame: DataFrame, label: str = C.TARGET) -> DataFrame:

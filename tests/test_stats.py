@@ -210,6 +210,12 @@ def test_folds_and_samples_do_not_depend_on_partitioning(spark):
     for label in (0, 1):
         sizes = [sum(r.fold == f and r.is_satisfied == label for r in one) for f in range(3)]
         assert max(sizes) - min(sizes) <= 1
+    plan = stratified_folds(frame, ["id"])._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    odd = spark.createDataFrame([(None, None)] * 9 + [(i, None) for i in range(9)], "id int, is_satisfied int")
+    placed = stratified_folds(odd, ["id"]).collect()
+    assert len(placed) == 18 and len({r.fold for r in placed if r.id is None}) == 1
+    assert stratified_folds(odd.limit(0), ["id"]).count() == 0
     picked = [sorted(r.id for r in fixed_sample(frame.repartition(n), 50, ["id"]).collect())
               for n in (1, 6)]
     assert picked[0] == picked[1] and len(picked[0]) == 50
