@@ -179,13 +179,12 @@ def shares(spark, directory):
 
 
 @query("frequent_category_members", f"""{STATS}
-SELECT order_id, review_id, c.category AS seller_state FROM cat_long c
-WHERE feature = 'seller_state'
-  AND c.category IN (SELECT category FROM frequent WHERE feature = 'seller_state')""")
+SELECT order_id, review_id, c.feature, c.category FROM cat_long c
+WHERE (c.feature, c.category) IN (SELECT (feature, category) FROM frequent)""")
 def frequent_category_members(spark, directory):
     frame = stored_features(spark, directory)
     kept = frequent_categories(rows_of_split(frame, "train"))
-    return frequent_members(frame, kept, "seller_state", ROW)
+    return frequent_members(frame, kept, C.CATEGORICAL, ROW)
 
 
 @query("cleaning_report", f"""{STATS}

@@ -68,14 +68,15 @@ def frequent_categories(
 
 
 def frequent_members(
-    frame: DataFrame, frequent: DataFrame, column: str, keep: Sequence[str]
+    frame: DataFrame, frequent: DataFrame, columns: Sequence[str], keep: Sequence[str]
 ) -> DataFrame:
-    """Rows whose category is frequent; at most one hundred values, so broadcast."""
-    wanted = frequent.where(F.col("feature") == column).select("category")
+    """(kept columns, feature, category) for every frequent category of a row; at most one hundred a column, so broadcast."""
+    present = [c for c in columns if c in frame.columns]
     return (
-        frame.select(*keep, category_text(column).alias("category"))
-        .join(F.broadcast(wanted), "category", "left_semi")
-        .select(*keep, F.col("category").alias(column))
+        frame.select(*keep, *[category_text(c).alias(f"_{c}") for c in present])
+        .select(*keep, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_{c}").alias("category")) for c in present])))
+        .join(F.broadcast(frequent.select("feature", "category")), ["feature", "category"], "left_semi")
+        .select(*keep, "feature", "category")
     )
 
 
