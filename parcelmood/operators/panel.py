@@ -22,14 +22,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
 from parcelmood.operators.comparison import probability_matrix
-from parcelmood.operators.metrics import class0_metrics, margin_to_probability
+from parcelmood.operators.ensembles import calibrate
+from parcelmood.operators.metrics import class0_metrics
 from parcelmood.operators.modeling import WEIGHT, predict_probability, spread
 from parcelmood.operators.preprocess import FEATURES, design_of, typed_preprocessor
 from parcelmood.operators.sampling import fixed_sample, stratified_folds, with_class_weight
@@ -45,8 +44,8 @@ PANEL = (
     "elastic_net",
 )
 
-#: Bins of the margin that the isotonic fit distinguishes.
-MARGIN_BINS = 10_000
+#: Members without probabilities of their own.
+CALIBRATED = ("linear_svm",)
 
 _FOREST_SPACE = {
     "n_estimators": ("int", 150, 350),
@@ -211,20 +210,33 @@ def hyper_search(
 ) -> tuple[DataFrame, dict]:
     """Seeded random search for F1 of class 0 on val; (trial history, best params).
 
-    The features are prepared once; each trial is a distributed fit on them.
+    The features are prepared once; each trial is a distributed fit on them. Boosting stops early on val; members
+    without probabilities are calibrated by folds of the sample.
     """
     spark = train.sparkSession
     subset = fixed_sample(train, sample, row_id)
     design = design_of(typed_preprocessor(train, variables), subset)
     weighted = with_class_weight(subset, name=WEIGHT)
-    ready = _ready(name, design.transform(weighted).select(FEATURES, C.TARGET, WEIGHT)).persist()
-    held = design.transform(val).select(FEATURES, C.TARGET).persist()
-    rows = ready.count()
+    folds = C.CV_FOLDS if name in CALIBRATED else 0
+    if folds:
+        weighted = stratified_folds(weighted, row_id)
+    columns = [FEATURES, C.TARGET, WEIGHT, *(["fold"] if folds else [])]
+    ready = design.transform(weighted).select(*columns)
+    rows = subset.count()
+    held = design.transform(with_class_weight(val, name=WEIGHT, reference=subset)).select(FEATURES, C.TARGET, WEIGHT)
+    validation = "is_val" if name.startswith("gbt") else None
+    if validation:
+        ready = ready.withColumn(validation, F.lit(False)).unionByName(held.withColumn(validation, F.lit(True)))
+    ready, held = _ready(name, ready).persist(), held.persist()
     rng = random.Random(C.SEED)
     points = [draw(name, rng) for _ in range(trials)]
 
     def attempt(point: dict) -> float:
-        model = build_classifier(name, point, rows).fit(ready)
+        learner = build_classifier(name, point, rows, validation)
+        if folds:
+            model = calibrate([learner.fit(ready.where(F.col("fold") != i)) for i in range(folds)], ready)
+        else:
+            model = learner.fit(ready)
         return class0_metrics(predict_probability(model, held)).first().f1_cls0
 
     with ThreadPool(parallelism) as pool:
@@ -256,7 +268,7 @@ def out_of_fold(
     """
     parts = []
     for i in range(folds):
-        model = fit_candidate(name, frame.where(F.col("fold") != i), variables, params)
+        model = fit_member(name, frame.where(F.col("fold") != i).drop("fold"), variables, row_id, params)
         scored = predict_probability(model, frame.where(F.col("fold") == i))
         parts.append(scored.select(*row_id, "fold", C.TARGET, F.lit(name).alias("modelo"), "proba"))
     whole = parts[0]
@@ -321,41 +333,19 @@ def calibrated(
     models: Sequence[Model], folded: DataFrame, frame: DataFrame, method: str = "sigmoid"
 ) -> DataFrame:
     """Mean probability of the fold models, each calibrated on its held-out rows."""
-    if method not in ("sigmoid", "isotonic"):
-        raise ValueError(f"unknown calibration: {method}")
-    scored = frame
-    for i, model in enumerate(models):
-        held = _with_margin(model, folded.where(F.col("fold") == i), "margin")
-        scored = _with_margin(model, scored, f"m{i}")
-        scored = _calibrate(held, scored, f"m{i}", f"p{i}", method)
-    mean = sum((F.col(f"p{i}") for i in range(len(models))), F.lit(0.0)) / len(models)
-    return scored.withColumn("proba", mean).select(*frame.columns, "proba")
-
-
-def _bin() -> Column:
-    """The logistic of a margin, rounded: a monotone label of at most MARGIN_BINS + 1 bins."""
-    return F.round(margin_to_probability(F.col("margin")) * MARGIN_BINS) / MARGIN_BINS
-
+    return predict_probability(calibrate(models, folded, method), frame)
 
-def _with_margin(model: Model, frame: DataFrame, name: str) -> DataFrame:
-    margin = vector_to_array(F.col("rawPrediction"))[1]
-    return model.transform(frame).select(*frame.columns, margin.alias(name))
 
-
-def _calibrate(
-    held: DataFrame, frame: DataFrame, margin: str, output: str, method: str
-) -> DataFrame:
-    if method == "isotonic":
-        # the learner merges its blocks on the driver, so it gets bins instead of rows
-        bins = held.groupBy(_bin().alias("bin")).agg(
-            F.avg(F.col(C.TARGET).cast("double")).alias(C.TARGET), F.count(F.lit(1)).cast("double").alias("rows")
-        )
-        model = IsotonicRegression(
-            labelCol=C.TARGET, featuresCol="bin", weightCol="rows", predictionCol=output
-        ).fit(bins)
-        placed = frame.withColumn("bin", margin_to_probability(F.col(margin)))
-        return model.transform(placed).drop("bin")
-    ready = held.select(array_to_vector(F.array("margin")).alias("v"), C.TARGET)
-    fitted = LogisticRegression(labelCol=C.TARGET, featuresCol="v").fit(ready)
-    slope, intercept = float(fitted.coefficients[0]), fitted.intercept
-    return frame.withColumn(output, 1 / (1 + F.exp(-(slope * F.col(margin) + intercept))))
+def fit_member(
+    name: str,
+    train: DataFrame,
+    variables: Sequence[str],
+    row_id: Sequence[str],
+    params: dict | None = None,
+    stop_on: DataFrame | None = None,
+) -> Model:
+    """A panel member as the flow uses it: margins become calibrated probabilities, boosting may stop on ``stop_on``."""
+    if name not in CALIBRATED:
+        return fit_candidate(name, train, variables, params, stop_on)
+    folded = fold_frame(train, row_id)
+    return calibrate(fold_models(name, folded, variables, params), folded)

@@ -5,23 +5,26 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from parcelmood import config as C
 from parcelmood.functions.scalars import half_even
 from parcelmood.operators import comparison, importance, metrics, modeling, panel
 from parcelmood.operators.cleaning import OrderCleaner
+from parcelmood.operators.ensembles import StackedModel, load_model
 from parcelmood.operators.features import build_features, panel_features, varying_columns
 from parcelmood.operators.split import assign_split, rows_of_split
 from parcelmood.session import configure
 from parcelmood.sources import storage
 
 
-def panel_frame(
+def panel_parts(
     master: DataFrame, calendar: C.SplitCalendar
-) -> tuple[DataFrame, list[str]]:
-    """Clean features with interactions, stored once, and the varying candidates.
+) -> tuple[DataFrame, list[str], Model]:
+    """Clean features with interactions, stored once, the varying candidates, and the cleaner.
 
     The added columns are made before cleaning, so they keep their outliers and
     gaps; the models' own imputation fills the gaps.
@@ -30,7 +33,26 @@ def panel_frame(
     stored = storage.store_table(frame, "panel", [C.SPLIT])
     cleaner = OrderCleaner().fit(rows_of_split(stored, "train"))
     cleaned = storage.store_table(cleaner.transform(stored), "panel-clean", [C.SPLIT])
-    return cleaned, varying_columns(cleaned)
+    return cleaned, varying_columns(cleaned), cleaner
+
+
+def panel_frame(
+    master: DataFrame, calendar: C.SplitCalendar
+) -> tuple[DataFrame, list[str]]:
+    return panel_parts(master, calendar)[:2]
+
+
+def artifact(cleaner: Model | None, model: Model) -> PipelineModel:
+    """Cleaner and model as one, so that it scores features as they were built."""
+    own = model.stages if isinstance(model, PipelineModel) else [model]
+    return PipelineModel([*([] if cleaner is None else [cleaner]), *own])
+
+
+def store_reports(reports: dict[str, DataFrame], directory: str) -> None:
+    """Every report under its name: flat ones as CSV, those with nested columns as JSON."""
+    for name, report in reports.items():
+        nested = any(isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in report.schema.fields)
+        (storage.save_json if nested else storage.save_report)(report, f"{directory}/reports/{name}")
 
 
 def tagged_scores(model, frame: DataFrame) -> DataFrame:
@@ -69,14 +91,17 @@ def process_model(
     trials: int,
     directory: str,
 ) -> None:
-    """Search, cross-validate, refit on all training rows, store the results."""
+    """Search, cross-validate, refit on all training rows, store the results.
+
+    Boosting stops early on val in the search and in the refit; folds have no rows to stop on.
+    """
     train, val = rows_of_split(frame, "train"), rows_of_split(frame, "val")
     history, best = panel.hyper_search(name, train, val, variables, row_id, trials)
     folded = panel.fold_frame(train, row_id)
     oof = panel.out_of_fold(name, folded, variables, row_id, best)
     storage.save_model_results(oof, f"{directory}/oof")
     oof = frame.sparkSession.read.parquet(f"{directory}/oof").where(F.col("modelo") == name)
-    model = panel.fit_candidate(name, train, variables, best)
+    model = panel.fit_member(name, train, variables, row_id, best, stop_on=val)
     model.write().overwrite().save(f"{directory}/models/{name}")
     scored = tagged_scores(model, frame)
     kept = scored.where(F.col(C.SPLIT) == "val").select(
@@ -97,7 +122,10 @@ def process_pending(
     models: Sequence[str] = panel.PANEL,
     trials: int = C.SEARCH_TRIALS,
 ) -> list[str]:
-    """Process the models without a stored comparison row; returns their names."""
+    """Process the models without a stored comparison row; returns the names of those that are done now.
+
+    A model that fails is recorded under ``failures`` with its error, and the others go on; a rerun tries it again.
+    """
     spark = frame.sparkSession
     wanted = spark.createDataFrame([(m,) for m in models], "modelo string")
     done = f"{directory}/comparison"
@@ -106,9 +134,16 @@ def process_pending(
         pending = storage.pending_models(wanted, spark.read.parquet(done))
     left = {row.modelo for row in pending.collect()}
     names = [m for m in models if m in left]
+    finished = []
     for name in names:
-        process_model(name, frame, variables, row_id, trials, directory)
-    return names
+        try:
+            process_model(name, frame, variables, row_id, trials, directory)
+            finished.append(name)
+        except Exception as failure:  # noqa: BLE001 - whatever a learner raises is recorded
+            record = [(name, type(failure).__name__, str(failure))]
+            failed = spark.createDataFrame(record, "modelo string, error string, mensaje string")
+            storage.save_model_results(failed, f"{directory}/failures")
+    return finished
 
 
 def run_panel(
@@ -123,9 +158,9 @@ def run_panel(
 ) -> dict[str, DataFrame]:
     """Whole panel; models with a stored comparison row are skipped on a rerun."""
     configure(spark)
-    frame, variables = panel_frame(master, calendar)
+    frame, variables, cleaner = panel_parts(master, calendar)
     process_pending(frame, variables, directory, row_id, models, trials)
-    return finish_panel(frame, variables, directory, row_id, calendar, models, repeats)
+    return finish_panel(frame, variables, directory, row_id, calendar, models, repeats, cleaner)
 
 
 def finish_panel(
@@ -136,14 +171,24 @@ def finish_panel(
     calendar: C.SplitCalendar = C.DEFAULT_CALENDAR,
     models: Sequence[str] = panel.PANEL,
     repeats: int = C.PERMUTATION_REPEATS,
+    cleaner: Model | None = None,
 ) -> dict[str, DataFrame]:
-    """Stack the stored models, choose the winner, audit its importances, save it."""
+    """Stack the stored models, choose the winner, audit its importances, save both models and all reports.
+
+    The stored artifacts begin with ``cleaner``. Models without a comparison row take no part and are reported with
+    their errors.
+    """
     spark = frame.sparkSession
     wanted = spark.createDataFrame([(m,) for m in models], "modelo string")
     table = spark.read.parquet(f"{directory}/comparison").join(wanted, "modelo", "left_semi")
-    val = rows_of_split(frame, "val")
+    done = {r.modelo for r in table.select("modelo").collect()}
+    if not done:
+        raise RuntimeError(f"no model of the panel is finished in {directory}")
+    names = [m for m in models if m in done]
+    train, val = rows_of_split(frame, "train"), rows_of_split(frame, "val")
     oof, val_scores = (spark.read.parquet(f"{directory}/{part}") for part in ("oof", "val"))
-    _, stacked = panel.stack(oof, val_scores, models, row_id)
+    judge, stacked = panel.stack(oof, val_scores, names, row_id)
+    members = {name: load_model(spark, f"{directory}/models/{name}") for name in names}
     ensemble = metrics.full_metrics(stacked).select(
         F.lit(comparison.ENSEMBLE).alias("modelo"),
         half_even(F.col("f1_cls0"), 4).alias("f1_cls0_val"),
@@ -157,17 +202,16 @@ def finish_panel(
         F.lit("{}").alias("best_params"),
     )
     compared = comparison.append_rows(table, ensemble)
-    storage.save_report(compared, f"{directory}/reports/model_comparison")
-
     winner = comparison.best_model(table).first()
-    train = rows_of_split(frame, "train")
     params = json.loads(winner.best_params)
 
     def fit(chosen):
-        return panel.fit_candidate(winner.modelo, train, chosen, params)
+        return panel.fit_member(winner.modelo, train, chosen, row_id, params, stop_on=val)
 
-    model = fit(variables)
-    shares = importance.permutation_importance(model, val, variables, row_id, repeats)
+    model = members[winner.modelo]
+    shares = storage.store_table(
+        importance.permutation_importance(model, val, variables, row_id, repeats), "importance"
+    )
     audit = comparison.audit_cap(shares)
     final = list(variables)
     reports = {"model_comparison": compared, "importance": shares, "audit": audit}
@@ -180,9 +224,16 @@ def finish_panel(
     reports["lift_live"] = metrics.lift_table(
         modeling.predict_probability(model, rows_of_split(frame, "live"))
     )
-    modeling.save_scorer(
-        model, spark, f"{directory}/models", final, calendar, f"satisfaction_final_{winner.modelo}"
-    )
+    if storage.path_exists(spark, f"{directory}/failures"):
+        failures = spark.read.parquet(f"{directory}/failures").join(wanted, "modelo", "left_semi")
+        reports["failures"] = failures.join(table.select("modelo"), "modelo", "left_anti")
+    store_reports(reports, directory)
+
+    def save(chosen: Model, used: Sequence[str], name: str) -> None:
+        modeling.save_scorer(artifact(cleaner, chosen), spark, f"{directory}/models", used, calendar, name)
+
+    save(model, final, f"satisfaction_final_{winner.modelo}")
+    save(StackedModel(members, judge), variables, "satisfaction_ensemble")
     document = storage.run_document(
         reports["backtest_metrics"],
         calendar,

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from parcelmood import config as C
 from parcelmood.checks import all_queries
 from parcelmood.checks.base import master_of
-from parcelmood.operators.modeling import WEIGHT
+from parcelmood.functions.scalars import half_even
+from parcelmood.operators import metrics
+from parcelmood.operators.features import build_features, panel_features
+from parcelmood.operators.modeling import WEIGHT, artifact_path, load_scorer, predict_probability
 from parcelmood.operators.preprocess import FEATURES
+from parcelmood.operators.split import assign_split, rows_of_split
 from parcelmood.plans.baseline_run import run_baseline
-from parcelmood.plans.panel_run import finish_panel, panel_frame, process_pending
+from parcelmood.plans.panel_run import finish_panel, panel_parts, process_pending
 from parcelmood.sources import storage
 from parcelmood.sources.catalog import RAW_FILES, read_raw_tables
 from parcelmood.sources.fixture import FIXTURE_CALENDAR, fixture_tables
@@ -80,12 +84,22 @@ def test_baseline_flow(spark, small, tmp_path):
 
 def test_panel_flow_resumes(spark, small, tmp_path):
     master = master_of(spark, small, review_columns=["review_id"])
-    row, models, path = ["order_id", "review_id"], ["logistic"], str(tmp_path)
-    frame, variables = panel_frame(master, FIXTURE_CALENDAR)
-    assert process_pending(frame, variables, path, row, models, trials=1) == models
+    row, models, path = ["order_id", "review_id"], ["logistic", "no_such_model"], str(tmp_path)
+    frame, variables, cleaner = panel_parts(master, FIXTURE_CALENDAR)
+    assert process_pending(frame, variables, path, row, models, trials=1) == models[:1]
     assert process_pending(frame, variables, path, row, models, trials=1) == []
-    reports = finish_panel(frame, variables, path, row, FIXTURE_CALENDAR, models, repeats=1)
+    reports = finish_panel(frame, variables, path, row, FIXTURE_CALENDAR, models, 1, cleaner)
     compared = reports["model_comparison"].collect()
     assert {r.modelo for r in compared} == {"logistic", "STACKING"}
+    assert [(r.modelo, r.error) for r in reports["failures"].collect()] == [("no_such_model", "ValueError")]
     assert storage.path_exists(spark, f"{path}/trials/modelo=logistic")
     assert reports["backtest_metrics"].first().accuracy > 0
+    for name in reports:
+        assert storage.path_exists(spark, f"{path}/reports/{name}/_SUCCESS")
+    # the stored ensemble scores features as they were built
+    raw = assign_split(panel_features(build_features(master)), FIXTURE_CALENDAR)
+    ensemble, metadata = load_scorer(spark, artifact_path(f"{path}/models", "satisfaction_ensemble"))
+    assert metadata.first().n_features == len(variables)
+    scored = predict_probability(ensemble, rows_of_split(raw, "val"))
+    found = metrics.full_metrics(scored).select(half_even(F.col("brier"), 4).alias("b")).first().b
+    assert found == next(r.brier_val for r in compared if r.modelo == "STACKING")

@@ -3,12 +3,15 @@
 import random
 
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
 from parcelmood.checks.base import master_of, stored_features
-from parcelmood.operators import importance, modeling, panel
+from parcelmood.operators import ensembles, importance, modeling, panel
 from parcelmood.operators.preprocess import FEATURES, design_of, preprocessor
 from parcelmood.operators.split import rows_of_split
 from parcelmood.plans.panel_run import panel_frame
@@ -115,6 +118,32 @@ def test_mean_of_calibrated_folds_is_a_probability(panel_data):
         assert 0 <= low < high <= 1
 
 
+@pytest.mark.parametrize("method", ["sigmoid", "isotonic"])
+def test_calibrated_and_stacked_models_survive_storage(spark, tmp_path, method):
+    rng = random.Random(5)
+    rows = [(i, i % 3, i % 2, Vectors.dense(i % 2 + rng.gauss(0, 1), rng.random())) for i in range(300)]
+    folded = spark.createDataFrame(rows, ["id", "fold", C.TARGET, FEATURES]).coalesce(2).persist()
+    learner = LogisticRegression(labelCol=C.TARGET, featuresCol=FEATURES, maxIter=10)
+    members = [learner.fit(folded.where(F.col("fold") != i)) for i in range(3)]
+    model = ensembles.calibrate(members, folded, method)
+    judge = Pipeline(stages=[
+        VectorAssembler(inputCols=["a", "b"], outputCol="both"),
+        LogisticRegression(labelCol=C.TARGET, featuresCol="both", maxIter=10),
+    ])
+    pair = {"a": model, "b": members[0]}
+    given = folded
+    for name, member in pair.items():
+        given = modeling.predict_probability(member, given, name)
+    whole = PipelineModel([ensembles.StackedModel(pair, judge.fit(given))])
+    whole.write().overwrite().save(str(tmp_path / method))
+    again = ensembles.load_model(spark, str(tmp_path / method))
+    assert isinstance(again.stages[0].members["a"], ensembles.CalibratedModel)
+    before, after = (
+        {r.id: r.proba for r in modeling.predict_probability(m, folded).collect()} for m in (whole, again)
+    )
+    assert before == pytest.approx(after) and 0 <= min(after.values()) < max(after.values()) <= 1
+
+
 def test_one_review_of_two_orders_stays_two_rows(spark):
     rows = [(o, 7 if o < 2 else 10 + o, o % 2, m, 0.1 + 0.8 * (o % 2)) for o in range(8) for m in ("a", "b")]
     long = spark.createDataFrame(rows, "order_id int, review_id int, is_satisfied int, modelo string, proba double")
