@@ -31,8 +31,13 @@ FEW = 20_000
 LARGEST = sys.float_info.max
 
 
+def grid_of(column: str) -> Column:
+    """A sketch of the column: the values at all steps of the grid, nearly."""
+    return F.percentile_approx(column, [i / GRID for i in range(GRID + 1)], ACCURACY)
+
+
 def _grid() -> Column:
-    return F.percentile_approx("value", [i / GRID for i in range(GRID + 1)], ACCURACY).alias("grid")
+    return grid_of("value").alias("grid")
 
 
 def _proposed(place: int, count: int, grid: list[float]) -> set[float]:
@@ -41,6 +46,11 @@ def _proposed(place: int, count: int, grid: list[float]) -> set[float]:
     return {grid[max(0, step - 1)], grid[min(GRID, step + 2)]}
 
 
+def proposed_values(places: set[int], count: int, grid: list[float]) -> set[float]:
+    """What a column's sketch proposes for all its places."""
+    return set().union(*[_proposed(place, count, grid) for place in places])
+
+
 def numbers_of(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns as doubles that a search can compare: one zero, and the largest numbers for the infinities."""
     held = {c: F.least(F.greatest(to_double(c), F.lit(-LARGEST)), F.lit(LARGEST)) + F.lit(0.0) for c in columns}
@@ -156,7 +166,7 @@ def column_quantiles(frame: DataFrame, columns: Sequence[str], quantiles: Sequen
     for r in sketched:
         lows = {num * (r.n - 1) // den for num, den in quantiles}
         places[r.feature] = lows | {min(at + 1, r.n - 1) for at in lows}
-        proposed[r.feature] = set().union(*[_proposed(at, r.n, r.grid) for at in places[r.feature]])
+        proposed[r.feature] = proposed_values(places[r.feature], r.n, r.grid)
     value = values_at(numbers, places, proposed)
     value = {at: math.copysign(math.inf, v) if abs(v) == LARGEST else v for at, v in value.items()}
     out = []

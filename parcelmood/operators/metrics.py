@@ -10,9 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parcelmood import config as C
 from parcelmood.functions.histograms import area_rows, score_histogram
+from parcelmood.functions.order_statistics import LARGEST, grid_of, proposed_values, values_at
 from parcelmood.functions.ordering import running_totals
 from parcelmood.functions.scalars import half_even, ratio
 
@@ -219,6 +221,26 @@ def confusion_matrix(
     return frame.agg(F.explode(lines).alias("line")).select("line.*")
 
 
+def _tied_bad(rows: DataFrame, cut: dict[int, Column], open_cuts: dict[int, Column]) -> DataFrame:
+    """Per ``_key`` and percent in ``open_cuts``: bad rows among the first ``room`` at the cut score, by id."""
+    hits = F.array_compact(
+        F.array(
+            *[
+                F.when((F.col("_order") == cut[p]) & room.isNotNull(), F.struct(F.lit(p).alias("top_pct"), room.alias("room")))
+                for p, room in open_cuts.items()
+            ]
+        )
+    )
+    weighted = (
+        rows.select("_key", "_id", "_bad", F.explode(hits).alias("hit"))
+        .groupBy("_key", "hit.top_pct", "hit.room", "_id", "_bad")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = running_totals(weighted, ["_key", "top_pct"], [F.col("_id"), F.col("_bad").desc()], ["n"])
+    inside = F.least(F.col("n"), F.greatest(F.col("room") - F.col("n_before"), F.lit(0)))
+    return ranked.groupBy("_key", "top_pct").agg(F.sum(inside * F.col("_bad")).alias("bad"))
+
+
 def lift_table(
     frame: DataFrame,
     percents: Sequence[int] = C.LIFT_PERCENTS,
@@ -229,50 +251,78 @@ def lift_table(
 ) -> DataFrame:
     """Capture, precision and lift of the riskiest x %, ties in risk by row id.
 
-    Equal (risk, id, label) rows collapse to one weighted row, so neither a
-    score nor an id shared by many rows has to fit into one task.
+    The score at which a share ends is selected by closing intervals, and rows are counted above and at it: no row
+    is ranked, sorted or stored. Ids decide only where a share ends among equal scores with both labels; these rows
+    alone are ordered, equal ones as one weighted row. A row without a score comes last, one that is no number first.
+    The result is a report: the driver holds a few numbers per key, so keys are splits, months and the like.
     """
-    weighted = (
-        frame.select(
-            *keys,
-            (1.0 - F.col(score)).alias("risk"),
-            F.col(row_id).alias("_id"),
-            (1 - F.col(target)).cast("long").alias("_bad"),
-        )
-        .groupBy(*keys, "risk", "_id", "_bad")
-        .agg(F.count("*").alias("n"))
-        .withColumn("bad", F.col("n") * F.col("_bad"))
+    spark = frame.sparkSession
+    order = F.col(score) - 1.0
+    rows = frame.select(
+        *keys,
+        F.when(order.isNull(), LARGEST)
+        .when(F.isnan(order), -LARGEST)
+        .otherwise(F.least(F.greatest(order, F.lit(-LARGEST)), F.lit(LARGEST)) + F.lit(0.0))
+        .alias("_order"),
+        F.col(row_id).alias("_id"),
+        (1 - F.col(target)).cast("long").alias("_bad"),
     )
-    order = [F.col("risk").desc(), F.col("_id"), F.col("_bad").desc()]
-    ranked = running_totals(weighted, keys, order, ["n", "bad"])
-
-    def cut(percent: int) -> Column:
-        return F.greatest(F.bround(F.col("n_total") * percent / 100.0, 0).cast("long"), F.lit(1))
-
-    inside = {
-        p: F.least(F.col("n"), F.greatest(cut(p) - F.col("n_before"), F.lit(0))) * F.col("_bad")
-        for p in percents
+    sizes = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_bad").alias("bad"), grid_of("_order").alias("grid")
+    ).collect()
+    sizes = [r for r in sizes if r.n]
+
+    def of_key(row) -> Column:
+        match = F.lit(True)
+        for key in keys:
+            match = match & F.col(key).eqNullSafe(F.lit(row[key]))
+        return match
+
+    def by_key(values: list) -> Column:
+        return F.coalesce(F.lit(None), *[F.when(of_key(r), F.lit(v)) for r, v in zip(sizes, values)])
+
+    contacted = [{p: max(round(r.n * p / 100.0), 1) for p in percents} for r in sizes]
+    places = {f"key {i}": {min(k, sizes[i].n) - 1 for k in own.values()} for i, own in enumerate(contacted)}
+    proposed = {f"key {i}": proposed_values(places[f"key {i}"], r.n, r.grid) for i, r in enumerate(sizes)}
+    value = values_at(
+        rows.select(*[F.when(of_key(r), F.col("_order")).alias(f"key {i}") for i, r in enumerate(sizes)]), places, proposed
+    ) if sizes else {}
+    cut = {
+        p: by_key([value[f"key {i}", min(own[p], sizes[i].n) - 1] for i, own in enumerate(contacted)]) for p in percents
     }
-    summed = ranked.groupBy(*keys).agg(
-        F.max("n_total").alias("n_total"),
-        F.max("bad_total").alias("bad_total"),
-        *[F.sum(e).alias(f"caught_{p}") for p, e in inside.items()],
-    )
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("top_pct"),
-                cut(p).alias("contactados"),
-                F.col(f"caught_{p}").alias("insatisfechos_capturados"),
-            )
-            for p in percents
-        ]
-    )
+    parts = []
+    for p in percents:
+        above, at = F.col("_order") < cut[p], F.col("_order") == cut[p]
+        parts += [F.count_if(above).alias(f"above_{p}"), F.count_if(above & (F.col("_bad") == 1)).alias(f"bad_{p}"),
+                  F.count_if(at).alias(f"tied_{p}"), F.count_if(at & (F.col("_bad") == 1)).alias(f"tied_bad_{p}")]
+    counted = {tuple(r[k] for k in keys): r for r in (rows.groupBy(*keys).agg(*parts).collect() if sizes else [])}
+
+    caught, rooms = [], {p: [None] * len(sizes) for p in percents}
+    for i, r in enumerate(sizes):
+        own = counted[tuple(r[k] for k in keys)]
+        for p in percents:
+            room = min(contacted[i][p], r.n) - own[f"above_{p}"]
+            tied, bad = own[f"tied_{p}"], own[f"tied_bad_{p}"]
+            inside = min(bad, room) if bad in (0, tied) or room == tied else None
+            if inside is None:
+                rooms[p][i] = room
+            caught.append([i, p, contacted[i][p], own[f"bad_{p}"], inside])
+    if any(line[4] is None for line in caught):
+        open_cuts = {p: by_key(own) for p, own in rooms.items() if any(x is not None for x in own)}
+        numbered = rows.withColumn("_key", by_key(list(range(len(sizes)))))
+        found = {(r["_key"], r.top_pct): r.bad for r in _tied_bad(numbered, cut, open_cuts).collect()}
+        caught = [[*line[:4], found[line[0], line[1]] if line[4] is None else line[4]] for line in caught]
+
+    report = "n_total bigint, bad_total bigint, top_pct int, contactados bigint, insatisfechos_capturados bigint"
+    schema = StructType([frame.schema[k] for k in keys] + StructType.fromDDL(report).fields)
+    lines = [
+        (*[sizes[i][k] for k in keys], sizes[i].n, sizes[i].bad, p, k, above + inside)
+        for i, p, k, above, inside in caught
+    ]
     captured, k = F.col("insatisfechos_capturados"), F.col("contactados")
     base = F.col("bad_total") / F.greatest(F.col("n_total"), F.lit(1))
     return (
-        summed.select(*keys, "n_total", "bad_total", F.explode(lines).alias("line"))
-        .select(*keys, "n_total", "bad_total", "line.*")
+        spark.createDataFrame(lines, schema)
         .select(
             *keys,
             "top_pct",

@@ -170,6 +170,33 @@ def test_lift_with_one_hot_order(spark):
     assert found == {50: 50, 70: 60}
 
 
+def test_lift_against_a_sort(spark):
+    """Keys with a null, few and many distinct scores, missing and odd scores; some shares end inside a tie."""
+    choose = random.Random(5)
+    rows = []
+    for key, grain in (("a", 7), ("b", 10**6), (None, 3)):
+        for i in range(400):
+            score = choose.choice([None, float("nan")]) if i % 97 == 0 else choose.randrange(grain) / grain
+            rows.append((key, choose.randrange(250), score, choose.randrange(2)))
+    frame = spark.createDataFrame(rows, "k string, order_id int, proba double, is_satisfied int")
+    found = {(r.k, r.top_pct): (r.contactados, r.insatisfechos_capturados) for r in
+             metrics.lift_table(frame, [1, 5, 37, 100], keys=["k"]).collect()}
+
+    def place(row):
+        score = row[2]
+        risk = (2, 0) if score is None else (0, 0) if score != score else (1, score - 1.0)
+        return (risk, row[1], row[3])
+
+    expected = {}
+    for key in ("a", "b", None):
+        own = sorted((r for r in rows if r[0] == key), key=place)
+        for p in (1, 5, 37, 100):
+            n = max(round(len(own) * p / 100.0), 1)
+            expected[key, p] = (n, sum(1 - r[3] for r in own[:n]))
+    assert found == expected
+    assert metrics.lift_table(frame.limit(0), [5], keys=["k"]).count() == 0
+
+
 def test_metrics_of_one_class_and_without_positives(spark):
     frame = spark.createDataFrame([(0.1, 1), (0.2, 1)], "proba double, is_satisfied int")
     row = metrics.technical_metrics(frame).first()
