@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelmood.llm.base import query, stored, table, texts_of
-from parcelmood.llm.tokens import SPACED_RULE, Vocabulary, is_plain
+from parcelmood.llm.tokens import Vocabulary
 
 #: Pre-tokens resolved on the spot: a bound of about 2 MB on what every worker gets.
 HEAD = 131_072
@@ -30,16 +30,14 @@ def _frequencies(batches: Iterator[pa.RecordBatch], path: str, head: dict[str, i
     for batch in batches:
         known, words, counts = [], [], []
         for text in batch.column("text").to_pylist():
-            total, rest = 0, []
-            if is_plain(text):
-                for word, n in Counter(SPACED_RULE.findall(text)).items():
-                    pieces = get(word)
-                    if pieces is None:
-                        rest.append((word, n))
-                    else:
-                        total += n * pieces
-            else:
-                total = vocabulary.count(text)
+            cut, total = vocabulary.pre_tokens(text)
+            rest = []
+            for word, n in Counter(cut).items():
+                pieces = get(word)
+                if pieces is None:
+                    rest.append((word, n))
+                else:
+                    total += n * pieces
             known.append(total)
             words.append([w for w, _ in rest])
             counts.append([n for _, n in rest])
@@ -56,12 +54,12 @@ def _frequencies(batches: Iterator[pa.RecordBatch], path: str, head: dict[str, i
         )
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_counts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    cut = Vocabulary.at(path).pre_tokens
     for batch in batches:
         seen: Counter[str] = Counter()
         for text in batch.column("text").to_pylist():
-            if is_plain(text):
-                seen.update(SPACED_RULE.findall(text))
+            seen.update(cut(text)[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "n"]
         )
@@ -81,15 +79,18 @@ def count_tokens(
     """Columns (doc_id, n_bytes, n_tokens, over_limit), one row for each input row.
 
     A null or empty text has 0 bytes and 0 tokens. A repeated row or id gives its own row each time, a null id
-    stays null. No rows give no rows. The tokenizer file must exist on every worker.
+    stays null. No rows give no rows. The tokenizer file must exist on every worker; one that normalises texts, or
+    whose special strings take in white space around them, is refused, as its pre-tokens are no parts of a text.
     """
+    if not Vocabulary.at(tokenizer).as_written:
+        raise ValueError(f"{tokenizer}: pre-tokens are not parts of the text")
     spark = docs.sparkSession
     texts = texts_of(docs, id_col, text_col)
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(HEAD_ONE_IN)) == 0).select("text")
     common = (
-        sample.mapInArrow(_word_counts, "word string, n bigint")
+        sample.mapInArrow(lambda b: _word_counts(b, tokenizer), "word string, n bigint")
         .groupBy("word").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "word").limit(HEAD)
         .select("word").mapInArrow(lambda b: _piece_counts(b, tokenizer), "word string, pieces int")

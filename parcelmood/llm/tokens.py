@@ -2,8 +2,9 @@
 
 The library spends nearly all its time on merging pieces inside pre-tokens, and pre-tokens repeat. Texts whose
 characters lie below U+0250 (whose classes no Unicode version has changed) and that hold no special string are
-cut by the same rule as in the vocabulary file, and the library's model is asked once per distinct pre-token.
-All other texts go through the library whole, so the result is the library's own in either case.
+cut by the same rule as in the vocabulary file, all other texts by the library's own pre-tokeniser between special
+strings, and the library's model is asked once per distinct pre-token. Where ids of other texts are wanted
+(``bare_ids``), the library encodes them whole. The result is the library's own in any case.
 """
 
 from __future__ import annotations
@@ -79,6 +80,11 @@ class Vocabulary:
         self.library.no_truncation()
         self.library.no_padding()
         self._model = self.library.model
+        self._cut = self.library.pre_tokenizer.pre_tokenize_str
+        added = self.library.get_added_tokens_decoder().values()
+        self._special = re.compile("|".join(re.escape(t.content) for t in added) or "(?!)")
+        #: Whether pre-tokens are parts of the text as it is, and special strings end just where they end.
+        self.as_written = self.library.normalizer is None and not any(t.lstrip or t.rstrip or t.single_word for t in added)
         self._pieces = _Memory(self._word_bytes)
         self._runs = _Memory(lambda run: b"".join(map(self._pieces.__getitem__, BARE_RULE.findall(run))))
 
@@ -99,9 +105,12 @@ class Vocabulary:
         """Pieces of one pre-token that the vocabulary's own rule has cut."""
         return len(self._word_ids(word))
 
-    def count(self, text: str) -> int:
-        """Tokens of a whole text, by the library."""
-        return len(self.library.encode(text, add_special_tokens=False).ids)
+    def pre_tokens(self, text: str) -> tuple[list[str], int]:
+        """The pre-tokens of a text by the file's own rule, and the number of special strings, a token each."""
+        if is_plain(text):
+            return SPACED_RULE.findall(text), 0
+        parts = self._special.split(text)
+        return [part[a:b] for part in parts for _, (a, b) in self._cut(part)], len(parts) - 1
 
     def bare_ids(self, text: str) -> bytes:
         """Ids (little-endian, 32 bits) of a whole text by the lower-casing vocabulary that drops white space."""

@@ -58,6 +58,16 @@ def test_token_counts_are_the_library_s(spark, odd_docs, no_docs, byte_vocabular
     assert token_counts.count_tokens(no_docs, byte_vocabulary).count() == 0
 
 
+def test_token_counts_of_any_script_come_from_pre_tokens(spark, byte_vocabulary):
+    """Curly quotes, dashes, CJK, Cyrillic, odd spaces and special strings, held against the library."""
+    choose = random.Random(11)
+    parts = ["“quoted”", " — ", "中文字", "мир ", " don't", "’s", "<|endoftext|>", "<|", "|>", "\u2003", "  ", "\n", "é\u0301", "🙂", "x", "١٢", " 9"]
+    texts = ["".join(choose.choices(parts, k=choose.randrange(1, 40))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, byte_vocabulary).collect()}
+    assert found == {i: len(ids_of(byte_vocabulary, t)) for i, t in enumerate(texts)}
+
+
 def test_packing_lays_out_every_token_once(spark, odd_docs, no_docs, word_vocabulary):
     found = packing.pack(odd_docs, word_vocabulary, shard_pieces=8).collect()
     tokens = {r.doc_id: ids_of(word_vocabulary, r.text) + [1] for r in odd_docs.collect()}
