@@ -3,17 +3,19 @@
 Only DataFrame functions and Spark ML. A multinomial logistic regression over word pairs and triples, with an unknown
 class beside the licence families, learns from pieces of public licence notices and, for the unknown class, from
 sentences that merely speak of licences and a bounded sample of the corpus. Its probabilities are calibrated by a
-temperature chosen on held-out pieces. A paragraph can only get a family if one of its n-grams speaks for a family
-against the unknown class (the intercepts speak for the unknown), so one pass over all paragraphs of all texts looks
-for these n-grams, and those found are classified. A predicted family counts when a template of it confirms it.
+temperature chosen on held-out pieces. It judges every paragraph of every text in one pass; those it gives to a family
+are compared with the notices. A predicted family counts when a template of it confirms it and the paragraph has more
+n-grams of this family's notices than of any other's: versions and variants of a licence share nearly all their words.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmood.llm.base import query, stored, table
@@ -29,43 +31,99 @@ PIECE_WORDS = 6
 TEMPERATURES = [0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 5.0]
 VOCABULARY = 8_192
 
-#: Public licence notices by family.
+#: Public licence notices by family, neighbours of each other among them.
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
         "Licensed under the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files, to deal in the Software without restriction",
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
         "of the Software.",
     ],
+    "ISC": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-        "compliance with the License. You may obtain a copy of the License at",
+        "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is "
         "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ],
+    "Apache-1.1": [
+        "The Apache Software License, Version 1.1.",
+        "Licensed under the Apache Software License, Version 1.1.",
+        "This product includes software developed by the Apache Software Foundation.",
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
+        "Licensed under the GNU GPL v3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or any later "
-        "version.",
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "Licensed under the GNU GPL v2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ],
+    "GPL-unversioned": [
         "You should have received a copy of the GNU General Public License along with this program.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License "
+        "for more details.",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
     ],
     "BSD-3-Clause": [
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Released under the BSD 3-Clause License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ],
+    "BSD-2-Clause": [
+        "Released under the BSD 2-Clause License.",
+        "Licensed under the Simplified BSD License.",
+    ],
+    "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met",
+        "the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution.",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, Version 2.0.",
     ],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License, Version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
@@ -75,6 +133,22 @@ TEMPLATES = {
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ],
+    "CC-BY-ND-4.0": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
+    "CC-BY-NC-4.0": [
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ],
+    "CC-BY-NC-SA-4.0": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-NC-ND-4.0": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
     "Public-domain": [
         "This is free and unencumbered software released into the public domain.",
         "The author has dedicated the work to the public domain by waiving all rights under CC0 1.0 Universal.",
@@ -102,22 +176,16 @@ OTHER = [
 ]
 
 
-def _grams(text: Column, low: int = 2, high: int = 3) -> Column:
-    """Word pairs and triples in lower case; words are runs of letters, digits, dots and dashes."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}.+-]+"), lambda w: F.rtrim(w, F.lit(".")) != "")
-    words = F.transform(words, lambda w: F.rtrim(w, F.lit(".")))
-
-    def runs(n: int) -> Column:
-        return F.when(F.size("w") < n, F.array().cast("array<string>")).otherwise(
-            F.expr(f"transform(sequence(0, size(w) - {n}), i -> concat_ws(' ', slice(w, i + 1, {n})))")
-        )
+#: What lies between words: anything but letters, digits, dots, pluses and dashes, with the dots before it.
+_BETWEEN = r"(?<!\.)\.*+(?:[^\p{L}\p{N}.+-]++|$)"
 
-    return words, F.concat(*[runs(n) for n in range(low, high + 1)])
 
-
-def _with_grams(frame: DataFrame, text: str, name: str = "grams") -> DataFrame:
-    words, grams = _grams(F.col(text))
-    return frame.withColumn("w", words).withColumn(name, grams).drop("w")
+def _with_grams(frame: DataFrame, text: str) -> DataFrame:
+    """Adds ``grams``, the pairs and triples of a text's words in lower case."""
+    words = frame.withColumn("w", F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _BETWEEN), ""))
+    pairs, triples = (NGram(n=n, inputCol="w", outputCol=f"grams_{n}") for n in (2, 3))
+    both = triples.transform(pairs.transform(words))
+    return both.withColumn("grams", F.concat("grams_2", "grams_3")).drop("w", "grams_2", "grams_3")
 
 
 def _listed(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
@@ -141,11 +209,16 @@ def _pieces(notices: DataFrame) -> DataFrame:
 
 
 class LicenseModel:
-    """The vectoriser, the regression, its temperature, the families, and the n-grams that speak for one."""
+    """The vectoriser, the regression, its temperature, and the families with the unknown class last."""
 
-    def __init__(self, vectors, regression, families: list[str], temperature: float, telling: list[str]):
+    def __init__(self, vectors, regression, families: list[str], temperature: float):
         self.vectors, self.regression = vectors, regression
-        self.families, self.temperature, self.telling = families, temperature, telling
+        self.families, self.temperature = families, temperature
+
+    def likely(self, frame: DataFrame) -> DataFrame:
+        """Rows with ``grams`` of which a family, not the unknown class, is the most probable."""
+        known = F.col("prediction") < len(self.families) - 1
+        return self.regression.transform(self.vectors.transform(frame.filter(F.size("grams") > 0))).filter(known).select(*frame.columns)
 
     def probabilities(self, frame: DataFrame) -> DataFrame:
         """Adds ``p``, the calibrated probability of each family in order, to rows with ``grams``."""
@@ -158,44 +231,48 @@ class LicenseModel:
         return e.withColumn("p", share).drop(*dropped)
 
 
-def train(paragraphs: DataFrame, rows: int) -> LicenseModel:
-    """From the notices and about SAMPLE of the corpus paragraphs (a column ``text``; ``rows`` of them or more)."""
+def _examples(paragraphs: DataFrame, sample: int) -> DataFrame:
+    """Rows (family, text): the notices and their pieces, other sentences, and at most about ``sample`` corpus lines.
+
+    The lines are distinct ones, chosen by the hash of their text among the number of all lines, so a line that
+    fills the corpus counts once.
+    """
     spark = paragraphs.sparkSession
-    families = sorted(TEMPLATES) + [UNKNOWN]
     known = _pieces(_listed(spark, [(f, t) for f, texts in TEMPLATES.items() for t in texts]))
     other = _pieces(_listed(spark, [(UNKNOWN, t) for t in OTHER]))
-    one_in = max(1, rows // SAMPLE)
+    one_in = max(1, paragraphs.count() // sample)
     # the corpus speaks for the unknown class except where it quotes a notice
     quoted = F.lower("text").rlike("licen[sc]|copyright|rights reserved|public domain|redistribut|hereby granted")
-    corpus = paragraphs.filter((F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0) & ~quoted).select(
-        F.lit(UNKNOWN).alias("family"), F.substring("text", 1, 4_000).alias("text")
-    )
+    corpus = (
+        paragraphs.filter((F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0) & ~quoted)
+        .select(F.lit(UNKNOWN).alias("family"), "text").distinct()
+    )
+    return stored(known.unionByName(other).unionByName(corpus), "license-texts")
+
+
+def train(paragraphs: DataFrame, sample: int = SAMPLE) -> LicenseModel:
+    """From the notices and about ``sample`` of the corpus paragraphs (a column ``text``), whole ones."""
+    families = sorted(TEMPLATES) + [UNKNOWN]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
-    # a few thousand rows: each pass of the fit over them is one small task
-    examples = stored(
-        _with_grams(known.unionByName(other).unionByName(corpus), "text").withColumn("label", label).coalesce(8),
-        "license-examples",
-    ).coalesce(1)
+    examples = _with_grams(_examples(paragraphs, sample), "text").withColumn("label", label)
     vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=VOCABULARY).fit(
         examples.filter(F.col("family") != UNKNOWN)
     )
+    # some thousand rows of at most VOCABULARY entries each: the fit goes over them many times
+    coded = stored(
+        vectors.transform(examples).select("label", "features", (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held")),
+        "license-examples",
+    )
     learner = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=25)
-    held = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
-    coded = vectors.transform(examples)
-    trial = LicenseModel(vectors, learner.fit(coded.filter(~held)), families, 1.0, [])
-    raw = trial.regression.transform(coded.filter(held)).withColumn("z", vector_to_array("rawPrediction"))
+    trial = learner.fit(coded.filter("not held"))
+    raw = trial.transform(coded.filter("held")).withColumn("z", vector_to_array("rawPrediction"))
     losses = [
         F.avg(F.expr(f"log(aggregate(transform(z, x -> exp((x - z[int(label)]) / {t}D)), 0D, (a, b) -> a + b))"))
         for t in TEMPERATURES
     ]
     found = raw.agg(*losses).first()
     temperature = min(zip(found, TEMPERATURES), key=lambda x: (x[0] is None, x[0]))[1]
-
-    regression = learner.fit(coded)
-    weights, unknown = regression.coefficientMatrix.toArray(), len(families) - 1
-    ahead = (weights[:unknown] - weights[unknown]).max(axis=0)
-    telling = [gram for gram, w in zip(vectors.vocabulary, ahead) if w > 0]
-    return LicenseModel(vectors, regression, families, temperature, telling)
+    return LicenseModel(vectors, learner.fit(coded), families, temperature)
 
 
 def paragraphs_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -207,31 +284,39 @@ def paragraphs_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns (doc_id, paragraph, family, probability, template, similarity): the licence paragraphs of all texts.
 
-    A paragraph is a line, counted from 0. Null and empty texts have none. A row that repeats another's id and text
+    A paragraph is a line, counted from 0, read whole however long. Null and empty texts have none. A notice that two
+    families share word by word is given to neither. A row that repeats another's id and text
     adds nothing; null ids are kept. Of equally similar templates the first in order counts. No rows give no rows.
     """
     spark = docs.sparkSession
     lines = paragraphs_of(docs, id_col, text_col)
-    # the number of documents, from the file footers, is at most the number of paragraphs
-    model = train(lines, docs.count())
-    telling = spark.range(1).select(F.explode(F.split(F.lit("\n".join(model.telling)), "\n")).alias("gram"))
-    grams = _with_grams(lines, "text")
-    spread = grams.select("doc_id", "paragraph", "text", F.explode_outer("grams").alias("gram"))
-    # at most VOCABULARY rows
+    model = train(lines)
     candidates = stored(
-        spread.join(F.broadcast(telling), "gram", "left_semi").select("doc_id", "paragraph", "text").distinct(),
-        "candidates",
+        model.likely(_with_grams(lines, "text")).select("doc_id", "paragraph", "text").distinct(), "candidates"
     )
     # a table of its own: a filter on the result would otherwise repeat the whole model in its condition
     judged = stored(model.probabilities(_with_grams(candidates, "text")), "judged-paragraphs")
     best = F.expr(f"slice(p, 1, {len(model.families) - 1})")
-    judged = judged.withColumn("probability", F.array_max(best)).withColumn(
-        "family", F.element_at(F.array(*[F.lit(f) for f in model.families]), F.array_position(best, F.array_max(best)).cast("int"))
+    place = F.array_position(best, F.array_max(best)).cast("int")
+    judged = judged.withColumn("probability", F.array_max(best)).withColumn("place", place).withColumn(
+        "family", F.element_at(F.array(*[F.lit(f) for f in model.families]), F.col("place"))
     )
     likely = judged.filter(F.col("probability") >= PROBABILITY).withColumn("own", F.array_distinct("grams"))
-    templates = _with_grams(_listed(spark, [(f, t) for f, texts in TEMPLATES.items() for t in texts]), "text").select(
-        "family", F.col("text").alias("template"), F.array_distinct("grams").alias("theirs")
+
+    templates = stored(
+        _with_grams(_listed(spark, [(f, t) for f, texts in TEMPLATES.items() for t in texts]), "text").select(
+            "family", F.col("text").alias("template"), F.array_distinct("grams").alias("theirs")
+        ),
+        "templates",
     )
+    # the n-grams of each family's notices, a fixed list, as one literal in the order of the families
+    notices = {r.family: r.grams for r in templates.groupBy("family").agg(F.flatten(F.collect_list("theirs")).alias("grams")).collect()}
+    spoken = F.from_json(F.lit(json.dumps([sorted(set(notices[f])) for f in model.families[:-1]])), "array<array<string>>")
+    counts = F.transform(spoken, lambda theirs: F.size(F.array_intersect("own", theirs)))
+    mine = F.element_at("counts", F.col("place"))
+    ahead = F.size(F.filter("counts", lambda n: n >= mine)) == 1
+    likely = likely.withColumn("counts", counts).filter(ahead)
+
     shared = F.size(F.array_intersect("own", "theirs"))
     # a paragraph that is part of a notice, or a notice that is part of a paragraph
     similarity = shared / F.least(F.size("own"), F.size("theirs"))

@@ -530,6 +530,53 @@ def test_license_paragraphs(spark, odd_docs):
     assert found == {(1, 0): "MIT", (1, 3): "Apache-2.0", (1, 4): "CC-BY-NC-4.0"}
 
 
+#: Notices in wordings that are not templates, by family; None: neighbours of a family that are none of them.
+HELD_OUT = [
+    ("MIT", "This project is released under the MIT License by its maintainers."),
+    ("Apache-2.0", "Copyright 2021 the maintainers; licensed under the Apache License, Version 2.0 as a whole."),
+    ("Apache-1.1", "The files of this folder are licensed under the Apache Software License, Version 1.1."),
+    ("GPL-3.0", "The tool is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "foo is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
+    ("GPL-2.0", "bar is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+     "License as published by the Free Software Foundation; either version 2 of the License, or any later version."),
+    ("LGPL-2.1", "The GNU C Library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License."),
+    ("AGPL-3.0", "baz is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+     "Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
+    ("BSD-2-Clause", "The code is released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "The code is released under the BSD 3-Clause License."),
+    ("MPL-2.0", "These files are subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("EPL-2.0", "The plugin is licensed under the Eclipse Public License, Version 2.0."),
+    ("CC-BY-SA-4.0", "This page is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "This page is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Pictures are licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-4.0", "Pictures are licensed under CC BY 4.0."),
+    (None, "You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+     "Free Software Foundation, either version 1 of the License, or any later version."),
+    (None, "The state of Ohio licensed the company under the terms of a general agreement with the public."),
+    (None, "He was granted a free copy of the software by a person in charge of distribution."),
+]
+
+
+def test_license_families_of_held_out_wordings(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    held = spark.createDataFrame([(-1 - i, t) for i, (_, t) in enumerate(HELD_OUT)], docs.schema)
+    found = {r.doc_id: r.family for r in licenses.scan(docs.unionByName(held)).filter("doc_id < 0").collect()}
+    wanted = {-1 - i: f for i, (f, _) in enumerate(HELD_OUT) if f}
+    right = sum(wanted.get(i) == f for i, f in found.items())
+    assert right == len(found), {HELD_OUT[-1 - i][1]: f for i, f in found.items() if wanted.get(i) != f}
+    assert right >= 0.85 * len(wanted), [HELD_OUT[-1 - i] for i in wanted if i not in found]
+
+
+def test_license_scan_of_nothing_and_of_one_line_in_all_rows(spark, no_docs):
+    assert licenses.scan(no_docs).count() == 0
+    hot = spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("the same words\nReleased under the MIT License.").alias("text"))
+    assert licenses.scan(hot).filter("family = 'MIT' and paragraph = 1").count() == 3_000
+    lines = licenses.paragraphs_of(hot, "doc_id", "text")
+    assert licenses._examples(lines, 10).filter("text = 'the same words'").count() <= 1
+
+
 def test_repeated_rows_are_kept_once(spark):
     frame = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c")], "doc_id int, text string")
     kept = spark.createDataFrame([(1, 2), (None, 1)], "id int, copies int")
