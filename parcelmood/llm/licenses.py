@@ -3,19 +3,19 @@
 Only DataFrame functions and Spark ML. A multinomial logistic regression over word pairs and triples, with an unknown
 class beside the licence families, learns from pieces of public licence notices and, for the unknown class, from
 sentences that merely speak of licences and a bounded sample of the corpus. Its probabilities are calibrated by a
-temperature chosen on held-out pieces. It judges every paragraph of every text in one pass; those it gives to a family
-are compared with the notices. A predicted family counts when a template of it confirms it and the paragraph has more
+temperature chosen on held-out pieces. It judges every paragraph of every text in one pass. That pass first
+looks for certain word pairs: a bound over the weights proves that a paragraph without any of them is of the unknown
+class. Paragraphs that the model gives to a family are compared with the notices. A predicted family counts when a template of it confirms it and the paragraph has more
 n-grams of this family's notices than of any other's: versions and variants of a licence share nearly all their words.
 """
 
 from __future__ import annotations
 
-import json
-
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmood.llm.base import query, stored, table
@@ -180,9 +180,24 @@ OTHER = [
 _BETWEEN = r"(?<!\.)\.*+(?:[^\p{L}\p{N}.+-]++|$)"
 
 
+def _words(text: str) -> Column:
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _BETWEEN), "")
+
+
+def _has_pair(text: str, pairs: list[int]) -> Column:
+    """Whether two neighbouring words of a text have one of the hashes; the words are bound once, as a lambda's name."""
+    found = F.transform(
+        F.array(_words(text)),
+        lambda w: F.exists(
+            F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: F.xxhash64(a, b)), lambda pair: pair.isin(pairs)
+        ),
+    )
+    return F.element_at(found, 1)
+
+
 def _with_grams(frame: DataFrame, text: str) -> DataFrame:
     """Adds ``grams``, the pairs and triples of a text's words in lower case."""
-    words = frame.withColumn("w", F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _BETWEEN), ""))
+    words = frame.withColumn("w", _words(text))
     pairs, triples = (NGram(n=n, inputCol="w", outputCol=f"grams_{n}") for n in (2, 3))
     both = triples.transform(pairs.transform(words))
     return both.withColumn("grams", F.concat("grams_2", "grams_3")).drop("w", "grams_2", "grams_3")
@@ -209,16 +224,22 @@ def _pieces(notices: DataFrame) -> DataFrame:
 
 
 class LicenseModel:
-    """The vectoriser, the regression, its temperature, and the families with the unknown class last."""
+    """The vectoriser, the regression, its temperature, the families with the unknown class last, the telling pairs."""
 
-    def __init__(self, vectors, regression, families: list[str], temperature: float):
+    def __init__(self, vectors, regression, families: list[str], temperature: float, pairs: list[str]):
         self.vectors, self.regression = vectors, regression
-        self.families, self.temperature = families, temperature
-
-    def likely(self, frame: DataFrame) -> DataFrame:
-        """Rows with ``grams`` of which a family, not the unknown class, is the most probable."""
+        self.families, self.temperature, self.pairs = families, temperature, pairs
+
+    def likely(self, frame: DataFrame, text: str) -> DataFrame:
+        """Rows of which a family, not the unknown class, is the most probable."""
+        pair = F.split("pair", " ")
+        listed = frame.sparkSession.range(1).select(F.explode(F.split(F.lit("\n".join(self.pairs)), "\n")).alias("pair"))
+        hashed = listed.select(F.xxhash64(pair[0], pair[1]).alias("h"))
+        # at most VOCABULARY
+        telling = [r.h for r in hashed.collect()] if self.pairs else []
         known = F.col("prediction") < len(self.families) - 1
-        return self.regression.transform(self.vectors.transform(frame.filter(F.size("grams") > 0))).filter(known).select(*frame.columns)
+        rows = _with_grams(frame.filter(_has_pair(text, telling)), text)
+        return self.regression.transform(self.vectors.transform(rows)).filter(known).select(*frame.columns)
 
     def probabilities(self, frame: DataFrame) -> DataFrame:
         """Adds ``p``, the calibrated probability of each family in order, to rows with ``grams``."""
@@ -231,6 +252,33 @@ class LicenseModel:
         return e.withColumn("p", share).drop(*dropped)
 
 
+def _telling_pairs(vocabulary: list[str], regression, common: dict[str, int]) -> list[str]:
+    """Word pairs of which every paragraph has one that the regression gives to a family.
+
+    Every n-gram of the vocabulary counts with one pair: itself, or the rarer of a triple's two. Pairs are left out
+    from the commonest on, as long as all n-grams that count with those left out, had a paragraph them all, would lift
+    no family up to the unknown class.
+    """
+    weights, intercepts = regression.coefficientMatrix.toArray(), regression.interceptVector.toArray()
+    lift = np.maximum(weights[:-1] - weights[-1], 0.0)
+    gap = intercepts[-1] - intercepts[:-1]
+    lifts: dict[str, np.ndarray] = {}
+    for at, gram in enumerate(vocabulary):
+        first, *rest = gram.split(" ")
+        pairs = [f"{a} {b}" for a, b in zip([first, *rest], rest)]
+        pair = min(pairs, key=lambda p: (common.get(p, 0), p))
+        lifts[pair] = lifts.get(pair, 0.0) + lift[:, at]
+    left_out, kept = np.zeros(len(gap)), []
+    for pair in sorted(lifts, key=lambda p: (-common.get(p, 0), p)):
+        if (left_out + lifts[pair] < gap - 1e-6).all():
+            left_out = left_out + lifts[pair]
+        else:
+            kept.append(pair)
+    if not (left_out < gap).all():
+        raise ValueError("a paragraph without any n-gram would be given to a family")
+    return kept
+
+
 def _examples(paragraphs: DataFrame, sample: int) -> DataFrame:
     """Rows (family, text): the notices and their pieces, other sentences, and at most about ``sample`` corpus lines.
 
@@ -272,7 +320,12 @@ def train(paragraphs: DataFrame, sample: int = SAMPLE) -> LicenseModel:
     ]
     found = raw.agg(*losses).first()
     temperature = min(zip(found, TEMPERATURES), key=lambda x: (x[0] is None, x[0]))[1]
-    return LicenseModel(vectors, learner.fit(coded), families, temperature)
+    regression = learner.fit(coded)
+    unknown = examples.filter(F.col("family") == UNKNOWN).select(F.explode(F.array_distinct("grams")).alias("gram"))
+    # at most VOCABULARY
+    counted = unknown.filter(F.col("gram").isin(vectors.vocabulary)).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    common = {r.gram: r.n for r in counted.collect()}
+    return LicenseModel(vectors, regression, families, temperature, _telling_pairs(vectors.vocabulary, regression, common))
 
 
 def paragraphs_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -292,7 +345,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     lines = paragraphs_of(docs, id_col, text_col)
     model = train(lines)
     candidates = stored(
-        model.likely(_with_grams(lines, "text")).select("doc_id", "paragraph", "text").distinct(), "candidates"
+        model.likely(lines, "text").select("doc_id", "paragraph", "text").distinct(), "candidates"
     )
     # a table of its own: a filter on the result would otherwise repeat the whole model in its condition
     judged = stored(model.probabilities(_with_grams(candidates, "text")), "judged-paragraphs")
@@ -311,7 +364,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
     # the n-grams of each family's notices, a fixed list, as one literal in the order of the families
     notices = {r.family: r.grams for r in templates.groupBy("family").agg(F.flatten(F.collect_list("theirs")).alias("grams")).collect()}
-    spoken = F.from_json(F.lit(json.dumps([sorted(set(notices[f])) for f in model.families[:-1]])), "array<array<string>>")
+    spoken = F.array(*[F.split(F.lit("\t".join(sorted(set(notices[f])))), "\t") for f in model.families[:-1]])
     counts = F.transform(spoken, lambda theirs: F.size(F.array_intersect("own", theirs)))
     mine = F.element_at("counts", F.col("place"))
     ahead = F.size(F.filter("counts", lambda n: n >= mine)) == 1

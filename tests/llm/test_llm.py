@@ -569,6 +569,17 @@ def test_license_families_of_held_out_wordings(spark, small):
     assert right >= 0.85 * len(wanted), [HELD_OUT[-1 - i] for i in wanted if i not in found]
 
 
+def test_license_pairs_lose_no_paragraph_of_the_model(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    lines = licenses.paragraphs_of(docs, "doc_id", "text")
+    model = licenses.train(lines)
+    every = model.probabilities(licenses._with_grams(lines, "text")).select(
+        "doc_id", "paragraph", F.expr(f"array_max(slice(p, 1, {len(model.families) - 1})) >= p[{len(model.families) - 1}]").alias("known")
+    )
+    wanted = {(r.doc_id, r.paragraph) for r in every.filter("known").collect()}
+    assert wanted and wanted == {(r.doc_id, r.paragraph) for r in model.likely(lines, "text").collect()}
+
+
 def test_license_scan_of_nothing_and_of_one_line_in_all_rows(spark, no_docs):
     assert licenses.scan(no_docs).count() == 0
     hot = spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("the same words\nReleased under the MIT License.").alias("text"))
