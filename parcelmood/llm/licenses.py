@@ -348,13 +348,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         model.likely(lines, "text").select("doc_id", "paragraph", "text").distinct(), "candidates"
     )
     # a table of its own: a filter on the result would otherwise repeat the whole model in its condition
-    judged = stored(model.probabilities(_with_grams(candidates, "text")), "judged-paragraphs")
+    judged = stored(
+        model.probabilities(_with_grams(candidates, "text")).withColumn("own", F.array_distinct("grams")), "judged-paragraphs"
+    )
     best = F.expr(f"slice(p, 1, {len(model.families) - 1})")
     place = F.array_position(best, F.array_max(best)).cast("int")
     judged = judged.withColumn("probability", F.array_max(best)).withColumn("place", place).withColumn(
         "family", F.element_at(F.array(*[F.lit(f) for f in model.families]), F.col("place"))
     )
-    likely = judged.filter(F.col("probability") >= PROBABILITY).withColumn("own", F.array_distinct("grams"))
+    likely = judged.filter(F.col("probability") >= PROBABILITY)
 
     templates = stored(
         _with_grams(_listed(spark, [(f, t) for f, texts in TEMPLATES.items() for t in texts]), "text").select(
@@ -366,9 +368,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     notices = {r.family: r.grams for r in templates.groupBy("family").agg(F.flatten(F.collect_list("theirs")).alias("grams")).collect()}
     spoken = F.array(*[F.split(F.lit("\t".join(sorted(set(notices[f])))), "\t") for f in model.families[:-1]])
     counts = F.transform(spoken, lambda theirs: F.size(F.array_intersect("own", theirs)))
-    mine = F.element_at("counts", F.col("place"))
-    ahead = F.size(F.filter("counts", lambda n: n >= mine)) == 1
-    likely = likely.withColumn("counts", counts).filter(ahead)
+    # counted once: a name of a lambda, not a column that is written out wherever it is used
+    ahead = F.transform(
+        F.array(counts), lambda c: F.size(F.filter(c, lambda n: n >= F.element_at(c, F.col("place")))) == 1
+    )
+    likely = likely.filter(F.element_at(ahead, 1))
 
     shared = F.size(F.array_intersect("own", "theirs"))
     # a paragraph that is part of a notice, or a notice that is part of a paragraph
