@@ -20,6 +20,7 @@ from parcelmood.operators.cleaning import (
 )
 from parcelmood.operators.encoding import target_encoding
 from parcelmood.operators.split import rows_of_split
+from parcelmood.sources.storage import store_table
 
 ROW = ["order_id", "review_id"]
 MEASURED = C.NUMERIC + C.BINARY
@@ -134,10 +135,10 @@ gaps AS (
 
 
 def clean_splits(spark, directory):
-    """(clean train, clean val) of the fixture."""
-    frame = stored_features(spark, directory)
+    """(clean train, clean val) of the fixture, stored: every statistic scans them."""
+    frame = stored_features(spark, directory, ["train", "val"], [*ROW, C.TARGET, *C.CANDIDATES])
     model = OrderCleaner().fit(rows_of_split(frame, "train"))
-    cleaned = model.transform(frame)
+    cleaned = store_table(model.transform(frame), "clean", [C.SPLIT])
     return rows_of_split(cleaned, "train"), rows_of_split(cleaned, "val")
 
 
@@ -154,13 +155,13 @@ def missing_ratio(spark, directory):
 @query("clip_bounds", f"""{STATS}
 SELECT feature, round_even(lo, 4) AS clip_low, round_even(hi, 4) AS clip_high FROM bounds""")
 def clip_bounds(spark, directory):
-    train = rows_of_split(features_of(spark, directory), "train")
+    train = stored_features(spark, directory, ["train"], C.NUMERIC)
     return clip_and_fill_values(train).select("feature", rounded("clip_low"), rounded("clip_high"))
 
 
 @query("impute_medians", f"{STATS} SELECT feature, round_even(mid, 4) AS median FROM bounds")
 def impute_medians(spark, directory):
-    train = rows_of_split(features_of(spark, directory), "train")
+    train = stored_features(spark, directory, ["train"], C.NUMERIC)
     return clip_and_fill_values(train).select("feature", rounded("median"))
 
 
@@ -194,7 +195,7 @@ SELECT feature AS variable, 'numérica' AS tipo, round_even(lo, 3) AS clip_low,
 UNION ALL
 SELECT feature, 'categórica', NULL, NULL, NULL, count(*) FROM frequent GROUP BY feature""")
 def report_of_cleaning(spark, directory):
-    train = rows_of_split(features_of(spark, directory), "train")
+    train = stored_features(spark, directory, ["train"], C.NUMERIC + C.CATEGORICAL)
     return cleaning_report(clip_and_fill_values(train), frequent_categories(train))
 
 
