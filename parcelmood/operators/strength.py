@@ -24,7 +24,20 @@ def feature_values(
 
 def univariate_gini(values: DataFrame) -> DataFrame:
     """|2 AUC - 1| of each raw column; 0 with too few rows or no variation."""
-    per_feature = area_rows(values, ["feature"])
+    return _usable_gini(area_rows(values, ["feature"]))
+
+
+def ranked_gini(ranked: DataFrame) -> DataFrame:
+    """``univariate_gini`` of a histogram that is ranked already, so that nothing is sorted again."""
+    won = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
+    pairs = F.col("pos").cast("double") * F.col("neg")
+    summed = ranked.groupBy("feature").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("n_values"), won.alias("_pairs")
+    )
+    return _usable_gini(summed.withColumn("auc", F.when(pairs > 0, F.col("_pairs") / pairs)))
+
+
+def _usable_gini(per_feature: DataFrame) -> DataFrame:
     pairs = F.col("pos").cast("double") * F.col("neg")
     usable = (
         (F.col("pos") + F.col("neg") >= C.MIN_STAT_ROWS) & (F.col("n_values") > 1) & (pairs > 0)
@@ -41,7 +54,11 @@ def woe_table(values: DataFrame, bins: int = C.STAT_BINS) -> DataFrame:
     Few distinct values are buckets of their own; else equal-frequency buckets
     (a, b].  From the histogram on, a feature has at most ``bins`` groups.
     """
-    values = ranked_histogram(values)
+    return woe_of_ranked(ranked_histogram(values), bins)
+
+
+def woe_of_ranked(values: DataFrame, bins: int = C.STAT_BINS) -> DataFrame:
+    """``woe_table`` of a histogram that is ranked already."""
     edges = bin_edges(values, bins)
     value = F.col("value")
     bucket = F.when(
@@ -140,12 +157,12 @@ def feature_evidence(frame: DataFrame, target: str = C.TARGET) -> DataFrame:
     """Gini, information value and flag gap of every candidate on clean training rows."""
     candidates = [c for c in C.CANDIDATES if c in frame.columns]
     measured = [c for c in candidates if c in C.NUMERIC + C.BINARY]
-    values = feature_values(frame, measured, target)
+    values = ranked_histogram(feature_values(frame, measured, target))
     listed = frame.sparkSession.createDataFrame([(c,) for c in candidates], "feature string")
     # every side has one row per candidate
     joined = (
-        listed.join(F.broadcast(univariate_gini(values)), "feature", "left")
-        .join(F.broadcast(information_value(woe_table(values))), "feature", "left")
+        listed.join(F.broadcast(ranked_gini(values)), "feature", "left")
+        .join(F.broadcast(information_value(woe_of_ranked(values))), "feature", "left")
         .join(F.broadcast(flag_gap(frame, target=target)), "feature", "left")
     )
     known = F.col("feature").isin(*measured)
