@@ -79,3 +79,30 @@ def test_stream_joins_the_star_once(spark, small, monkeypatch):
     same = all_queries()[0]["monthly_stream_scoring_check"](spark, small)
     assert built == [1]
     assert same.where(~F.col("igual") | ~F.col("proba_valida")).count() == 0
+
+
+def test_folds_are_stored_and_prepared_once_for_all_models(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, i + 500, x := rng.gauss(0, 1), rng.choice("ab"), "unused", int(x + rng.gauss(0, 1) > 0)) for i in range(120)]
+    train = spark.createDataFrame(
+        rows, "order_id int, review_id int, total_price double, payment_type string, other string, is_satisfied int"
+    )
+    variables, row_id, names = ["total_price", "payment_type"], ["order_id", "review_id"], ["logistic", "elastic_net"]
+    folded = panel.fold_frame(train, row_id, variables)
+    assert all("/folds-" in path for path in folded.inputFiles()) and "other" not in folded.columns
+    assert sorted(map(tuple, folded.select(*row_id, "fold").collect())) == sorted(
+        map(tuple, panel.stratified_folds(train, row_id).select(*row_id, "fold").collect())
+    )
+    learned, learn = [], panel.design_of
+    monkeypatch.setattr(panel, "design_of", lambda *given: learned.append(1) or learn(*given))
+    both = panel.out_of_folds(names, folded, variables, row_id)
+    assert len(learned) == 3
+    found = {(r.order_id, r.review_id, r.fold, r.is_satisfied, r.modelo): r.proba for r in both.collect()}
+    assert len(found) == 240
+    wanted = {}
+    for name in names:
+        for i in range(3):
+            model = panel.fit_candidate(name, folded.where(F.col("fold") != i), variables)
+            for r in modeling.predict_probability(model, folded.where(F.col("fold") == i)).collect():
+                wanted[r.order_id, r.review_id, r.fold, r.is_satisfied, name] = r.proba
+    assert found == pytest.approx(wanted, abs=1e-6)
