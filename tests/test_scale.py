@@ -3,13 +3,16 @@
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from parcelmood import config as C
 from parcelmood.checks import all_queries, base
 from parcelmood.checks.stats import clean_splits
 from parcelmood.functions.histograms import ranked_histogram, value_histogram
-from parcelmood.operators import modeling, panel, strength
+from parcelmood.operators import forests, modeling, panel, strength
 from parcelmood.operators.preprocess import FEATURES
 
 
@@ -106,3 +109,42 @@ def test_folds_are_stored_and_prepared_once_for_all_models(spark, monkeypatch):
             for r in modeling.predict_probability(model, folded.where(F.col("fold") == i)).collect():
                 wanted[r.order_id, r.review_id, r.fold, r.is_satisfied, name] = r.proba
     assert found == pytest.approx(wanted, abs=1e-6)
+
+
+def _vectors(spark, rows=400):
+    rng = random.Random(4)
+    points = [(Vectors.dense(x := rng.gauss(0, 1), rng.gauss(0, 1)), int(x + rng.gauss(0, 1) > 0), 1.0) for _ in range(rows)]
+    return spark.createDataFrame(points, [FEATURES, C.TARGET, modeling.WEIGHT]).persist()
+
+
+def test_large_forests_grow_all_their_trees_in_groups(spark, monkeypatch):
+    grown, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, frame: grown.append(self.getNumTrees()) or fit(self, frame))
+    monkeypatch.setattr(forests, "WHOLE", 400 * 100)
+    monkeypatch.setattr(forests, "GROUP", 50)
+    ready = _vectors(spark)
+    params = {"n_estimators": 120, "max_depth": 3}
+    model = panel.fit_prepared("random_forest", ready, params)
+    assert sorted(grown) == [20, 50, 50] and model.getNumTrees == 120
+    grown.clear()
+    assert panel.fit_prepared("random_forest", ready, {**params, "n_estimators": 100}).getNumTrees == 100
+    assert grown == [100]
+
+
+def test_groups_vote_as_one_forest_and_survive_storage(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(forests, "WHOLE", 0)
+    monkeypatch.setattr(forests, "GROUP", 4)
+    ready = _vectors(spark)
+    learner = panel.build_classifier("random_forest", {"n_estimators": 10, "max_depth": 3})
+    model = forests.fit_learner(learner, ready)
+    trees = [tree for member in model.members for tree in member.trees]
+    assert len(trees) == 10 and len({tree.toDebugString.split("\n", 1)[1] for tree in trees}) > 4
+    PipelineModel([model]).write().overwrite().save(str(tmp_path / "forest"))
+    loaded = PipelineModel.load(str(tmp_path / "forest"))
+    points = [r[FEATURES] for r in ready.limit(20).collect()]
+    some = spark.createDataFrame([(i, v) for i, v in enumerate(points)], ["id", FEATURES])
+    for scorer in (model, loaded):
+        for row in scorer.transform(some).collect():
+            mean = sum(tree.predictProbability(row[FEATURES])[1] for tree in trees) / 10
+            assert row.probability[1] == pytest.approx(mean) and sum(row.rawPrediction) == pytest.approx(10)
+            assert row.prediction == float(row.probability[1] > row.probability[0])
