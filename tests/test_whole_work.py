@@ -1,12 +1,13 @@
 """Queries do the whole job that they name: all rounds, all steps, all models."""
 
+import math
 import random
 
 import pytest
 
 from parcelmood import config as C
 from parcelmood.checks import all_queries, models
-from parcelmood.operators import panel
+from parcelmood.operators import modeling, panel
 
 
 def _rows(spark, count=240):
@@ -32,3 +33,19 @@ def test_boosting_queries_run_all_rounds_of_their_model(spark, monkeypatch, name
     monkeypatch.setattr(models, "model_row", lambda model, scored, params=None: scored)
     all_queries()[0][f"panel_{name}"](spark, "")
     assert rounds == [panel.DEFAULTS[name]["max_iter"]] and rounds[0] >= 200
+
+
+def test_cascade_ends_with_the_information_value_of_its_survivors(spark):
+    rng = random.Random(7)
+    rows = [(late := int(rng.random() < 0.4), float(i % 2), rng.choice("ab"), int(rng.random() < (0.3 if late else 0.8)))
+            for i in range(400)]
+    frame = spark.createDataFrame(rows, f"is_late int, total_price double, payment_type string, {C.TARGET} int").persist()
+    report, ranking, selected = modeling.selection_cascade(frame, frame, min_gini=0.2, evaluate=lambda names: (0.5, 0.5))
+    assert [r.orden for r in report.collect()] == [0, 1, 2, 3, 4] and selected == ["is_late", "payment_type"]
+    good, bad = ([sum(1 for late, *_, y in rows if (late, y) == (x, label)) for x in (0, 1)] for label in (1, 0))
+    shares = [(g / sum(good), b / sum(bad)) for g, b in zip(good, bad)]
+    value = sum((g - b) * math.log((g + 1e-6) / (b + 1e-6)) for g, b in shares)
+    found = ranking.collect()
+    assert [r.variable for r in found] == ["is_late"] and found[0].information_value == pytest.approx(value, abs=1e-4)
+    _, ranking, selected = modeling.selection_cascade(frame, frame, min_gini=2.0, evaluate=lambda names: (0.5, 0.5))
+    assert selected == ["payment_type"] and ranking.isEmpty()
