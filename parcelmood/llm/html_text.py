@@ -278,10 +278,12 @@ def main_text(html: str | None) -> str:
     total = [0] * len(containers)
     any_text = [False] * len(containers)
     for (_, _, _, furniture, container), n in zip(blocks, chars):
-        while container >= 0:
-            total[container] += n
-            any_text[container] |= not furniture
-            container = containers[container][0]
+        total[container] += n
+        any_text[container] |= not furniture
+    # a container comes after the one around it; the page is the first
+    for i in range(len(containers) - 1, 0, -1):
+        total[containers[i][0]] += total[i]
+        any_text[containers[i][0]] |= any_text[i]
     found = [i for i, c in enumerate(containers) if c[1] in ("article", "main") and any_text[i]]
     if found:
         taken = _taken(found, total, containers)
